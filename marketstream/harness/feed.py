@@ -25,10 +25,23 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table as a file stream. The glob also matches a table that is one file."""
-    schema = events(spark, sf_dir).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as a file stream. The glob also matches a table that is one file."""
+    table = events(spark, sf_dir)
+    stream = spark.readStream.schema(table.schema).parquet(f"{sf_dir}/events.parque[t]")
+    return market_feed(_spread(stream, table))
+
+
+def wire_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed for packing into messages."""
+    table = events(spark, sf_dir)
+    return market_feed(_spread(table, table))
+
+
+def _spread(df: DataFrame, table: DataFrame) -> DataFrame:
+    """Packing and parsing are heavy per row: spread a table with fewer splits than cores."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if table.rdd.getNumPartitions() < cores else df
 
 
 def market_feed(events_df: DataFrame) -> DataFrame:
@@ -145,13 +158,13 @@ def wire_rows(
         .when(kind == "view", F.array(F.lit("update"), F.lit("snapshot")))
         .otherwise(F.array(F.lit("update")))
     )
-    messages = feed_df.select("*", F.posexplode(copies).alias("copy", "update_type")).select(
+    texts = F.date_format("ts", MICROS_FORMAT).alias("time_text")
+    messages = feed_df.select("*", texts, F.posexplode(copies).alias("copy", "update_type")).select(
         "*", F.explode(F.array(*[F.lit(c) for c in channels])).alias("channel")
     )
-    time_text = F.date_format("ts", MICROS_FORMAT)
     body = F.struct(
         "channel",
-        F.concat(time_text, F.lit("000Z")).alias("timestamp"),
+        F.concat("time_text", F.lit("000Z")).alias("timestamp"),
         F.col("offset").alias("sequence_num"),
         F.array(
             _event(F.col("update_type"), F.lit(0), malformed),
@@ -207,7 +220,7 @@ def _trade_item(price_shift: Column, malformed: bool) -> Column:
         _text(F.col("price") + price_shift, "price"),
         size.alias("size"),
         F.col("side").alias("side"),
-        F.concat(F.date_format("ts", MICROS_FORMAT), F.lit("Z")).alias("time"),
+        F.concat("time_text", F.lit("Z")).alias("time"),
     )
 
 

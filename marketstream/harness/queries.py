@@ -92,7 +92,7 @@ def _updates(feed_df: DataFrame, *channels: str, malformed: bool = False) -> Dat
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages to dashboard: parse, flatten, dedup, minute totals, price against VWAP."""
     feed_df = f.feed(spark, sf_dir)
-    trades = prepare_trades(_updates(feed_df, "market_trades"))
+    trades = prepare_trades(_updates(f.wire_source(spark, sf_dir), "market_trades"))
     minutes = minute_trade_agg(dedup_trades(valid_rows(trades, TRADE_REQUIRED)))
     chart = dashboards.rolling_vwap_and_price(
         f.ticker_minutes(feed_df), minutes, as_of=f.newest_time(feed_df)
@@ -107,7 +107,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feed_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_streaming(spark)
     out = shared_dir(spark, "feed_source")
-    wire = f.wire_rows(f.market_feed(f.events_stream(spark, sf_dir)))
+    wire = f.wire_rows(f.feed_stream(spark, sf_dir))
     write = sinks.archive_writer(f"{out}/counts")
     drain(
         wire,
@@ -257,7 +257,7 @@ def trim_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_streaming(spark)
     tables = _market_tables(spark, "fanout")
-    updates = _updates(f.market_feed(f.events_stream(spark, sf_dir)))
+    updates = _updates(f.feed_stream(spark, sf_dir))
     drain(updates, sinks.batch_writer(tables), shared_dir(spark, "fanout"))
     stored = [tables.raw_trades, *tables.final_tables()]
     counts = [
@@ -273,7 +273,7 @@ def fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     f.use_utc(spark)
     tables = _market_tables(spark, "replay")
-    trades = prepare_trades(_updates(f.feed(spark, sf_dir), "market_trades"))
+    trades = prepare_trades(_updates(f.wire_source(spark, sf_dir), "market_trades"))
     sinks.write_trades(trades, tables, "live", 0)
     sinks.write_trades(trades, tables, "live", 0)  # the same batch again
     sinks.write_trades(trades, tables, "backfill", 0)  # the same trades from another source
@@ -290,7 +290,7 @@ def _market_tables(spark: SparkSession, purpose: str) -> sinks.MarketTables:
 
 @_query
 def parse_envelope_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse_envelope(f.wire_rows(f.feed(spark, sf_dir)))
+    parsed = parse_envelope(f.wire_rows(f.wire_source(spark, sf_dir)))
     first = F.get("events", F.lit(0))
     return _out(
         parsed.select(
@@ -327,7 +327,7 @@ def parse_message_ts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def first_update_event_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.col("event")
-    return _updates(f.feed(spark, sf_dir)).select(
+    return _updates(f.wire_source(spark, sf_dir)).select(
         "offset",
         "kafka_key",
         "channel",
@@ -340,24 +340,24 @@ def first_update_event_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def prepare_trades_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trades = prepare_trades(_updates(f.feed(spark, sf_dir), "market_trades"))
+    trades = prepare_trades(_updates(f.wire_source(spark, sf_dir), "market_trades"))
     return _out(trades.select(*TRADE_COLUMNS))
 
 
 @_query
 def prepare_tickers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _out(prepare_tickers(_updates(f.feed(spark, sf_dir), "ticker")))
+    return _out(prepare_tickers(_updates(f.wire_source(spark, sf_dir), "ticker")))
 
 
 @_query
 def prepare_candles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    candles = prepare_candles(_updates(f.feed(spark, sf_dir), "candles"))
+    candles = prepare_candles(_updates(f.wire_source(spark, sf_dir), "candles"))
     return _out(candles, "range", "avg_price")
 
 
 @_query
 def product_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    candles = prepare_candles(_updates(f.feed(spark, sf_dir), "candles"))
+    candles = prepare_candles(_updates(f.wire_source(spark, sf_dir), "candles"))
     return candles.where("last_in_message").select("kafka_offset", "product_id")
 
 
@@ -394,13 +394,13 @@ def minute_bucket_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def valid_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    updates = _updates(f.feed(spark, sf_dir), "market_trades", malformed=True)
+    updates = _updates(f.wire_source(spark, sf_dir), "market_trades", malformed=True)
     return _out(valid_rows(prepare_trades(updates), TRADE_REQUIRED).select(*TRADE_COLUMNS))
 
 
 @_query
 def quarantine_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    updates = _updates(f.feed(spark, sf_dir), "market_trades", malformed=True)
+    updates = _updates(f.wire_source(spark, sf_dir), "market_trades", malformed=True)
     bad = quarantine_rows(prepare_trades(updates), TRADE_REQUIRED)
     return _out(bad.select(*TRADE_COLUMNS, "missing"))
 
@@ -424,7 +424,7 @@ def buy_sell_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def dedup_trades_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trades = prepare_trades(_updates(f.feed(spark, sf_dir), "market_trades"))
+    trades = prepare_trades(_updates(f.wire_source(spark, sf_dir), "market_trades"))
     return _out(dedup_trades(trades).select(*TRADE_COLUMNS))
 
 
@@ -546,7 +546,7 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _trade_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare_trades(_updates(f.market_feed(f.events_stream(spark, sf_dir)), "market_trades"))
+    return prepare_trades(_updates(f.feed_stream(spark, sf_dir), "market_trades"))
 
 
 @_query
@@ -582,7 +582,7 @@ def _run_minute_stream(spark: SparkSession, sf_dir: str, purpose: str, runs: int
 def stream_latest_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_streaming(spark)
     snapshots = _market_tables(spark, "stream_ticker").ticker_minutes
-    tickers = prepare_tickers(_updates(f.market_feed(f.events_stream(spark, sf_dir)), "ticker"))
+    tickers = prepare_tickers(_updates(f.feed_stream(spark, sf_dir), "ticker"))
     newest = aggregates.stream_latest_tickers(tickers)
     drain(newest, sinks.snapshot_writer(snapshots), shared_dir(spark, "stream_ticker"), "update")
     return _out(snapshots.read().drop("event_hour", "kafka_offset"))
@@ -592,7 +592,7 @@ def stream_latest_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_latest_candle(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_streaming(spark)
     snapshots = _market_tables(spark, "stream_candle").candle_minutes
-    candles = prepare_candles(_updates(f.market_feed(f.events_stream(spark, sf_dir)), "candles"))
+    candles = prepare_candles(_updates(f.feed_stream(spark, sf_dir), "candles"))
     newest = aggregates.stream_latest_candles(candles)
     drain(newest, sinks.snapshot_writer(snapshots), shared_dir(spark, "stream_candle"), "update")
     return _out(snapshots.read().drop("event_hour", "kafka_offset"))

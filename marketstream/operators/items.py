@@ -80,15 +80,14 @@ def prepare_candles(update_df: DataFrame) -> DataFrame:
 
 
 def _explode_items(update_df: DataFrame, array_name: str) -> DataFrame:
-    array = F.col(f"event.{array_name}")
-    products = F.transform(array, lambda x: F.coalesce(x["product_id"], F.col("kafka_key")))
+    items = F.col(f"event.{array_name}")
     product = F.coalesce(F.col("item")["product_id"], F.col("kafka_key"))
     return update_df.select(
         "offset",
         "kafka_key",
         "message_ts_utc",
-        F.reverse(products).alias("products_from_end"),
-        F.posexplode(array).alias("pos", "item"),
+        items.alias("items"),
+        F.posexplode(items).alias("pos", "item"),
     ).select(
         F.col("offset").alias("kafka_offset"),
         "message_ts_utc",
@@ -100,5 +99,7 @@ def _explode_items(update_df: DataFrame, array_name: str) -> DataFrame:
 
 def _is_last(product: Column) -> Column:
     """True where no later item of the same message has the same product."""
-    size = F.size("products_from_end")
-    return F.array_position(F.col("products_from_end"), product) == size - F.col("pos")
+    size = F.size("items")
+    products = F.transform("items", lambda x: F.coalesce(x["product_id"], F.col("kafka_key")))
+    steps_from_end = F.array_position(F.reverse(products), product)
+    return F.when(size == 1, F.lit(True)).otherwise(steps_from_end == size - F.col("pos"))

@@ -14,15 +14,12 @@ def parse_envelope(kafka_df: DataFrame) -> DataFrame:
 
     Unknown fields are ignored, missing ones are null, text that is not JSON gives nulls.
     """
-    return (
-        kafka_df.select(
-            "offset",
-            F.col("key").cast("string").alias("kafka_key"),
-            F.from_json(F.col("value").cast("string"), ENVELOPE).alias("j"),
-        )
-        .select("offset", "kafka_key", "j.*")
-        .withColumn("message_ts_utc", parse_message_ts(F.col("timestamp")))
-    )
+    parsed = F.from_json(F.col("value").cast("string"), ENVELOPE)
+    # As a generator the parse runs once per message. As a plain projection, every filter on a
+    # parsed field is pushed below it with a copy of the parse.
+    return kafka_df.select(
+        "offset", F.col("key").cast("string").alias("kafka_key"), F.inline(F.array(parsed))
+    ).withColumn("message_ts_utc", parse_message_ts(F.col("timestamp")))
 
 
 def first_update_event(envelopes: DataFrame, all_events: bool = False) -> DataFrame:
