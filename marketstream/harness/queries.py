@@ -259,7 +259,7 @@ def fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _market_tables(spark, "fanout")
     updates = _updates(f.feed_stream(spark, sf_dir))
     drain(updates, sinks.batch_writer(tables), shared_dir(spark, "fanout"))
-    stored = [tables.raw_trades, *tables.final_tables()]
+    stored = [tables.raw_trades.table, *tables.final_tables()]
     counts = [
         table.read().agg(F.count("*").alias("n")).select(
             F.lit(table.name.split(".")[1]).alias("table_name"), "n"

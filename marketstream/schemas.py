@@ -49,7 +49,12 @@ CANDLE_MINUTES = (
     "close DOUBLE, range DOUBLE, avg_price DOUBLE, kafka_offset BIGINT"
 )
 PRODUCTS = "name STRING, product_id STRING, enabled BOOLEAN"
-LEDGER = "target STRING, source STRING, batch_id BIGINT, state STRING"
+LEDGER = "source STRING, batch_id BIGINT, state STRING, at_utc TIMESTAMP"
+QUARANTINE = (
+    "trade_id STRING, product_id STRING, side STRING, size DOUBLE, trade_value DOUBLE, "
+    "trade_time_utc TIMESTAMP, missing STRING, source STRING, batch_id BIGINT, "
+    "quarantined_at_utc TIMESTAMP"
+)
 
 # Decimal places kept in the snapshot tables.
 TICKER_SCALES = {
@@ -79,7 +84,6 @@ class TableNames:
     ticker_minutes: str = "ticker_snapshot"
     candle_minutes: str = "candles_snapshot"
     quarantine: str = "trade_quarantine"
-    ledger: str = "batch_ledger"
 
     def full(self, table: str) -> str:
         return f"{self.database}.{table}"

@@ -78,8 +78,10 @@ class HourlyTable:
         rows = self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()
         return sorted(row[0].split("=", 1)[1] for row in rows)
 
-    def append(self, df: DataFrame) -> None:
-        self._by_hour(df).write.insertInto(self.name)
+    def append(self, df: DataFrame, by_hour: bool = True) -> None:
+        """Append; ``by_hour=False`` writes the partitions of ``df`` as they are."""
+        rows = self._by_hour(df) if by_hour else self._shaped(df)
+        rows.write.insertInto(self.name)
 
     def replace(self, df: DataFrame) -> None:
         """Replace the hours that occur in ``df`` (dynamic) or everything (static)."""
@@ -106,10 +108,12 @@ class HourlyTable:
         self.drop_hours(labels)
         return labels
 
+    def _shaped(self, df: DataFrame) -> DataFrame:
+        return with_hour(df, self.ts_col).select(*self.read().columns)
+
     def _by_hour(self, df: DataFrame) -> DataFrame:
         # Rebalancing by hour writes few files per hour and still splits an oversized hour.
-        rows = with_hour(df, self.ts_col).select(*self.read().columns)
-        return rows.hint("rebalance", F.col("event_hour"))
+        return self._shaped(df).hint("rebalance", F.col("event_hour"))
 
 
 def drop_old_partitions(

@@ -1,24 +1,19 @@
-"""Micro-batch sinks that survive a retry.
-
-A batch is applied to a table in three steps. (1) The new content of the touched hours is computed
-and written to a side table. (2) The hours of the target are replaced from it. (3) The batch is
-entered in the ledger. The ledger also records the end of step 1. A retry of an applied batch does
-nothing; a retry after step 1 repeats the replacement, which holds absolute values; a retry before
-that starts over on an unchanged target. A table has one writer at a time.
-"""
+"""What a micro-batch does to the tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from datetime import datetime
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.items import prepare_candles, prepare_tickers, prepare_trades
 from ..operators.latest import latest_candle_minutes, latest_ticker_minutes
-from ..operators.merge import insert_new, upsert_add, upsert_replace
+from ..operators.merge import insert_new
 from ..operators.quality import (
     CANDLE_REQUIRED,
     TICKER_REQUIRED,
@@ -30,7 +25,7 @@ from ..operators.retention import TRIM_AGE_MINUTES, TRIM_LIMIT, trim_victims
 from ..operators.trades import dedup_trades, minute_trade_agg
 from ..schemas import (
     CANDLE_MINUTES,
-    LEDGER,
+    QUARANTINE,
     RAW_TRADES,
     TICKER_MINUTES,
     TRADE_MEASURES,
@@ -38,165 +33,38 @@ from ..schemas import (
     TableNames,
 )
 from ..sources.tables import HourlyTable, with_hour
+from .batch_tables import APPLIED, STAGED, BatchTable, kept
 
-QUARANTINE = (
-    "trade_id STRING, product_id STRING, side STRING, size DOUBLE, trade_value DOUBLE, "
-    "trade_time_utc TIMESTAMP, missing STRING, source STRING, batch_id BIGINT, "
-    "quarantined_at_utc TIMESTAMP"
-)
-
-
-@dataclass(frozen=True)
-class Ledger:
-    """Which batches of which source a table has staged and applied; hourly, so it can expire."""
-
-    table: HourlyTable
-
-    @classmethod
-    def open(cls, spark: SparkSession, name: str) -> Ledger:
-        return cls(HourlyTable(spark, name, f"{LEDGER}, at TIMESTAMP", "at").create())
-
-    def states(self, target: str, source: str, batch_id: int) -> set[str]:
-        rows = self.table.read().where(
-            (F.col("target") == target)
-            & (F.col("source") == source)
-            & (F.col("batch_id") == batch_id)
-        )
-        return {row["state"] for row in rows.select("state").distinct().collect()}
-
-    def record(self, target: str, source: str, batch_id: int, state: str) -> None:
-        row = self.table.spark.range(1).select(
-            F.lit(target).alias("target"),
-            F.lit(source).alias("source"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-            F.lit(state).alias("state"),
-            F.current_timestamp().alias("at"),
-        )
-        self.table.append(row)
-
-
-@dataclass(frozen=True)
-class BatchTable:
-    """An hourly table together with its side table and the ledger."""
-
-    table: HourlyTable
-    ledger: Ledger
-
-    @classmethod
-    def open(cls, ledger: Ledger, table: HourlyTable) -> BatchTable:
-        opened = cls(table.create(), ledger)
-        opened.side_table().create()
-        return opened
-
-    def read(self) -> DataFrame:
-        return self.table.read()
-
-    def is_staged(self, source: str, batch_id: int) -> bool:
-        return bool(self.ledger.states(self.table.name, source, batch_id))
-
-    def is_applied(self, source: str, batch_id: int) -> bool:
-        return "applied" in self.ledger.states(self.table.name, source, batch_id)
-
-    def stage(
-        self,
-        rows: DataFrame,
-        merge: Callable[[DataFrame, DataFrame], DataFrame],
-        source: str,
-        batch_id: int,
-    ) -> None:
-        """Write ``merge(stored rows of the touched hours, rows)`` to the side table."""
-        stored_columns = [c for c in self.read().columns if c != "event_hour"]
-        kept = with_hour(rows, self.table.ts_col).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            touched = kept.select("event_hour").distinct().collect()
-            stored = self.table.in_hours([row["event_hour"] for row in touched])
-            merged = merge(stored.select(*stored_columns), kept.select(*stored_columns))
-            self.side_table().replace(merged)
-        finally:
-            kept.unpersist()
-        self.ledger.record(self.table.name, source, batch_id, "staged")
-
-    def apply(self, source: str, batch_id: int) -> None:
-        """Replace the touched hours from the side table."""
-        self.table.replace(self.side_table().read())
-        self.ledger.record(self.table.name, source, batch_id, "applied")
-
-    def upsert(
-        self,
-        rows: DataFrame,
-        merge: Callable[[DataFrame, DataFrame], DataFrame],
-        source: str,
-        batch_id: int,
-    ) -> None:
-        states = self.ledger.states(self.table.name, source, batch_id)
-        if "applied" in states:
-            return
-        if "staged" not in states:
-            self.stage(rows, merge, source, batch_id)
-        self.apply(source, batch_id)
-
-    def replace_keys(self, rows: DataFrame, order_col: str, source: str, batch_id: int) -> None:
-        """Upsert in which the row with the highest ``order_col`` stays."""
-        keys = self.table.keys
-        self.upsert(
-            rows, lambda old, new: upsert_replace(old, new, keys, order_col), source, batch_id
-        )
-
-    def add_measures(self, rows: DataFrame, measures, source: str, batch_id: int) -> None:
-        """Upsert that adds to the stored measures."""
-        keys = self.table.keys
-        self.upsert(rows, lambda old, new: upsert_add(old, new, keys, measures), source, batch_id)
-
-    def side_table(self) -> HourlyTable:
-        return replace(self.table, name=f"{self.table.name}_staged", overwrite="static")
+BatchWriter = Callable[[DataFrame, int], None]
 
 
 @dataclass(frozen=True)
 class MarketTables:
     """All tables of one deployment."""
 
-    raw_trades: HourlyTable
+    raw_trades: BatchTable
     trade_minutes: BatchTable
     ticker_minutes: BatchTable
     candle_minutes: BatchTable
     quarantine: HourlyTable
-    ledger: Ledger
 
     @classmethod
     def open(cls, spark: SparkSession, names: TableNames) -> MarketTables:
-        ledger = Ledger.open(spark, names.full(names.ledger))
+        """Create what is missing and return all."""
 
-        def hourly(table: str, columns: str, ts_col: str, *keys: str) -> HourlyTable:
-            return HourlyTable(spark, names.full(table), columns, ts_col, keys)
+        def hourly(name: str, columns: str, ts_col: str, *keys: str) -> HourlyTable:
+            return HourlyTable(spark, names.full(name), columns, ts_col, keys)
 
-        minute_keys = "product_id", "trade_time_utc"
+        def snapshots(name: str, columns: str, ts_col: str) -> BatchTable:
+            return BatchTable(hourly(name, columns, ts_col, "product_id", ts_col)).create()
+
+        raw = hourly(names.raw_trades, RAW_TRADES, "trade_time_utc", "trade_id")
         return cls(
-            hourly(names.raw_trades, RAW_TRADES, "trade_time_utc", "trade_id").create(),
-            BatchTable.open(
-                ledger, hourly(names.trade_minutes, TRADE_MINUTES, "trade_time_utc", *minute_keys)
-            ),
-            BatchTable.open(
-                ledger,
-                hourly(
-                    names.ticker_minutes,
-                    TICKER_MINUTES,
-                    "ticker_ts_utc",
-                    "product_id",
-                    "ticker_ts_utc",
-                ),
-            ),
-            BatchTable.open(
-                ledger,
-                hourly(
-                    names.candle_minutes,
-                    CANDLE_MINUTES,
-                    "candle_ts_utc",
-                    "product_id",
-                    "candle_ts_utc",
-                ),
-            ),
+            BatchTable(raw).create(),
+            snapshots(names.trade_minutes, TRADE_MINUTES, "trade_time_utc"),
+            snapshots(names.ticker_minutes, TICKER_MINUTES, "ticker_ts_utc"),
+            snapshots(names.candle_minutes, CANDLE_MINUTES, "candle_ts_utc"),
             hourly(names.quarantine, QUARANTINE, "quarantined_at_utc").create(),
-            ledger,
         )
 
     def final_tables(self) -> list[HourlyTable]:
@@ -209,23 +77,21 @@ def write_trades(trades: DataFrame, tables: MarketTables, source: str, batch_id:
     The totals are staged before the raw rows are appended: after a failure in between, the retry
     finds them staged and only completes the append, which skips ids that are already stored.
     """
-    minutes, raw = tables.trade_minutes, tables.raw_trades
-    if minutes.is_applied(source, batch_id):
+    minutes, raw = tables.trade_minutes, tables.raw_trades.table
+    states = minutes.states(source, batch_id)
+    if APPLIED in states:
         return
-    fresh = insert_new(raw.read(), dedup_trades(valid_rows(trades, TRADE_REQUIRED)), raw.keys)
-    fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+    incoming = kept(dedup_trades(valid_rows(trades, TRADE_REQUIRED)))
+    fresh = kept(insert_new(raw.read(), incoming, raw.keys))
     try:
-        if not minutes.is_staged(source, batch_id):
+        if STAGED not in states:
             _set_aside(trades, tables.quarantine, source, batch_id)
-            minutes.stage(
-                minute_trade_agg(fresh),
-                lambda old, new: upsert_add(old, new, minutes.table.keys, TRADE_MEASURES),
-                source,
-                batch_id,
-            )
+            totals = minute_trade_agg(fresh)
+            minutes.stage(totals, minutes.added(TRADE_MEASURES), source, batch_id)
         raw.append(fresh.withColumn("inserted_at_utc", F.current_timestamp()))
     finally:
         fresh.unpersist()
+        incoming.unpersist()
     minutes.apply(source, batch_id)
 
 
@@ -239,32 +105,37 @@ def write_candles(candles: DataFrame, tables: MarketTables, source: str, batch_i
     tables.candle_minutes.replace_keys(rows, "kafka_offset", source, batch_id)
 
 
-def batch_writer(
-    tables: MarketTables, source: str = "live"
-) -> Callable[[DataFrame, int], None]:
+def batch_writer(tables: MarketTables, source: str = "live") -> BatchWriter:
     """``foreachBatch`` function: one parsed batch to the three outputs, parsed once.
 
-    Each output is retry-safe by itself. Errors propagate, so Spark never commits the offsets of
-    a batch that was not stored.
+    The outputs are written side by side and each is retry-safe by itself. Errors propagate, so
+    Spark never commits the offsets of a batch that was not stored.
     """
+    outputs = (
+        (prepare_trades, write_trades),
+        (prepare_tickers, write_tickers),
+        (prepare_candles, write_candles),
+    )
 
     def process_batch(update_df: DataFrame, batch_id: int) -> None:
-        batch = update_df.select("offset", "kafka_key", "message_ts_utc", "event").persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
+        batch = kept(update_df.select("offset", "kafka_key", "message_ts_utc", "event"))
+
+        @inheritable_thread_target(batch.sparkSession)
+        def write(prepare, store) -> None:
+            store(prepare(batch), tables, source, batch_id)
+
         try:
-            write_trades(prepare_trades(batch), tables, source, batch_id)
-            write_tickers(prepare_tickers(batch), tables, source, batch_id)
-            write_candles(prepare_candles(batch), tables, source, batch_id)
+            with ThreadPoolExecutor(len(outputs)) as pool:
+                running = [pool.submit(write, *output) for output in outputs]
+            for output in running:
+                output.result()
         finally:
             batch.unpersist()
 
     return process_batch
 
 
-def running_totals_writer(
-    minutes: BatchTable, source: str = "live"
-) -> Callable[[DataFrame, int], None]:
+def running_totals_writer(minutes: BatchTable, source: str = "live") -> BatchWriter:
     """``foreachBatch`` function for ``stream_minute_agg``.
 
     The totals of a minute only grow, so the row with the most trades is the newest.
@@ -272,14 +143,12 @@ def running_totals_writer(
     return lambda df, batch_id: minutes.replace_keys(df, "trade_count", source, batch_id)
 
 
-def snapshot_writer(
-    snapshots: BatchTable, source: str = "live"
-) -> Callable[[DataFrame, int], None]:
+def snapshot_writer(snapshots: BatchTable, source: str = "live") -> BatchWriter:
     """``foreachBatch`` function for the latest-per-minute streams."""
     return lambda df, batch_id: snapshots.replace_keys(df, "kafka_offset", source, batch_id)
 
 
-def archive_writer(path: str) -> Callable[[DataFrame, int], None]:
+def archive_writer(path: str) -> BatchWriter:
     """``foreachBatch`` function that stores each batch in its own directory, new on a retry."""
     return lambda df, batch_id: df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
@@ -289,9 +158,9 @@ def read_archive(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def trim_raw_trades(
-    tables: MarketTables,
+    raw: BatchTable,
     run_id: int,
-    as_of=None,
+    as_of: Column | datetime | str | None = None,
     age_minutes: int = TRIM_AGE_MINUTES,
     limit: int | None = TRIM_LIMIT,
 ) -> None:
@@ -299,27 +168,28 @@ def trim_raw_trades(
 
     Hours left without rows are dropped. A run that failed is repeated with the same ``run_id``.
     """
-    raw = BatchTable.open(tables.ledger, tables.raw_trades)
-    states = tables.ledger.states(raw.table.name, "trim", run_id)
-    if "applied" in states:
+    states = raw.states("trim", run_id)
+    if APPLIED in states:
         return
     emptied: set[str] = set()
-    if "staged" not in states:
+    if STAGED not in states:
         victims = trim_victims(raw.read(), as_of, age_minutes=age_minutes, limit=limit)
-        victims = with_hour(victims, "trade_time_utc").persist(StorageLevel.MEMORY_AND_DISK)
+        victims = kept(with_hour(victims, raw.table.ts_col))
         try:
-            touched = {row[0] for row in victims.select("event_hour").distinct().collect()}
+            touched = _hours(victims)
             survivors = raw.table.in_hours(touched).join(victims, "trade_id", "left_anti")
-            raw.side_table().replace(survivors)
+            raw.stage_hours(survivors, "trim", run_id)
         finally:
             victims.unpersist()
-        left = {row[0] for row in raw.side_table().read().select("event_hour").distinct().collect()}
-        emptied = touched - left
-        tables.ledger.record(raw.table.name, "trim", run_id, "staged")
+        emptied = touched - _hours(raw.side.read())
     raw.apply("trim", run_id)
     raw.table.drop_hours(sorted(emptied))
 
 
+def _hours(df: DataFrame) -> set[str]:
+    return {row[0] for row in df.select("event_hour").distinct().collect()}
+
+
 def _set_aside(trades: DataFrame, quarantine: HourlyTable, source: str, batch_id: int) -> None:
     """Store the incomplete rows once per batch."""
     of_batch = (F.col("source") == source) & (F.col("batch_id") == batch_id)
