@@ -37,13 +37,18 @@ class Tls:
 
 @dataclass(frozen=True)
 class Feed:
-    """A Kafka feed. The cap per trigger is the admission control of the stream."""
+    """A Kafka feed.
+
+    The cap per trigger is the admission control of the stream. ``min_partitions`` splits busy
+    topic partitions over more tasks.
+    """
 
     servers: str
     topics: Sequence[str]
     tls: Tls | None = None
     starting_offsets: str = "latest"
     max_offsets_per_trigger: int | None = 2000
+    min_partitions: int | None = None
     fail_on_data_loss: bool = False
     extra: Mapping[str, str] = field(default_factory=dict)
 
@@ -60,6 +65,8 @@ class Feed:
         }
         if self.max_offsets_per_trigger is not None:
             options["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)
+        if self.min_partitions is not None:
+            options["minPartitions"] = str(self.min_partitions)
         return options
 
     def range_options(self, start: datetime, end: datetime) -> dict[str, str]:

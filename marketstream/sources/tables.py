@@ -6,7 +6,7 @@ name it to prune; ``time_slice`` does.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -70,8 +70,8 @@ class HourlyTable:
     def slice(self, start: Moment, end: Moment | None = None) -> DataFrame:
         return time_slice(self.read(), self.ts_col, start, end)
 
-    def in_hours(self, hours: Sequence[str]) -> DataFrame:
-        return self.read().where(F.col("event_hour").isin(list(hours)))
+    def in_hours(self, hours: Iterable[str]) -> DataFrame:
+        return self.read().where(F.col("event_hour").isin(sorted(hours)))
 
     def hours(self) -> list[str]:
         """Labels of the existing partitions; as many as there are stored hours."""

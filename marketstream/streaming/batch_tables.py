@@ -29,6 +29,11 @@ def kept(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def hours_in(df: DataFrame) -> set[str]:
+    """Hour labels of the rows; as many as there are hours in the batch."""
+    return {row[0] for row in df.select("event_hour").distinct().collect()}
+
+
 @dataclass(frozen=True)
 class BatchTable:
     """An hourly table with its side table and its ledger."""
@@ -60,16 +65,14 @@ class BatchTable:
         )
         return {row["state"] for row in entries.select("state").collect()}
 
-    def stage(self, rows: DataFrame, merge: Merge, source: str, batch_id: int) -> None:
-        """Write ``merge(stored rows of the touched hours, rows)`` to the side table."""
-        columns = [c for c in self.read().columns if c != "event_hour"]
+    def stage(self, rows: DataFrame, merge: Merge, source: str, batch_id: int) -> bool:
+        """Write ``merge(stored rows of the touched hours, rows)`` to the side table.
+
+        False when there are no rows: the batch then counts as applied.
+        """
         batch = kept(with_hour(rows, self.table.ts_col))
         try:
-            touched = batch.select("event_hour").distinct().collect()
-            stored = self.table.in_hours([row["event_hour"] for row in touched])
-            self.stage_hours(
-                merge(stored.select(*columns), batch.select(*columns)), source, batch_id
-            )
+            return self._stage(batch, hours_in(batch), merge, source, batch_id)
         finally:
             batch.unpersist()
 
@@ -84,12 +87,21 @@ class BatchTable:
         self._record(source, batch_id, APPLIED)
 
     def upsert(self, rows: DataFrame, merge: Merge, source: str, batch_id: int) -> None:
-        states = self.states(source, batch_id)
-        if APPLIED in states:
-            return
-        if STAGED not in states:
-            self.stage(rows, merge, source, batch_id)
-        self.apply(source, batch_id)
+        """Apply a batch unless the ledger has it.
+
+        The rows are computed even then: a stateful stream commits its state only when its whole
+        output was consumed.
+        """
+        batch = kept(with_hour(rows, self.table.ts_col))
+        try:
+            hours = hours_in(batch)
+            states = self.states(source, batch_id)
+            if APPLIED in states:
+                return
+            if STAGED in states or self._stage(batch, hours, merge, source, batch_id):
+                self.apply(source, batch_id)
+        finally:
+            batch.unpersist()
 
     def replace_keys(self, rows: DataFrame, order_col: str, source: str, batch_id: int) -> None:
         """Upsert in which the row with the highest ``order_col`` per key stays."""
@@ -107,6 +119,17 @@ class BatchTable:
     def added(self, measures: Sequence[str]) -> Merge:
         return lambda stored, rows: upsert_add(stored, rows, self.table.keys, measures)
 
+    def _stage(
+        self, batch: DataFrame, hours: set[str], merge: Merge, source: str, batch_id: int
+    ) -> bool:
+        if not hours:
+            self._record(source, batch_id, APPLIED)
+            return False
+        columns = [c for c in self.read().columns if c != "event_hour"]
+        stored = self.table.in_hours(hours).select(*columns)
+        self.stage_hours(merge(stored, batch.select(*columns)), source, batch_id)
+        return True
+
     def _record(self, source: str, batch_id: int, state: str) -> None:
         entry = self.table.spark.range(0, 1, 1, numPartitions=1).select(
             F.lit(source).alias("source"),

@@ -33,7 +33,7 @@ from ..schemas import (
     TableNames,
 )
 from ..sources.tables import HourlyTable, with_hour
-from .batch_tables import APPLIED, STAGED, BatchTable, kept
+from .batch_tables import APPLIED, STAGED, BatchTable, hours_in, kept
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -87,7 +87,8 @@ def write_trades(trades: DataFrame, tables: MarketTables, source: str, batch_id:
         if STAGED not in states:
             _set_aside(trades, tables.quarantine, source, batch_id)
             totals = minute_trade_agg(fresh)
-            minutes.stage(totals, minutes.added(TRADE_MEASURES), source, batch_id)
+            if not minutes.stage(totals, minutes.added(TRADE_MEASURES), source, batch_id):
+                return
         raw.append(fresh.withColumn("inserted_at_utc", F.current_timestamp()))
     finally:
         fresh.unpersist()
@@ -176,20 +177,16 @@ def trim_raw_trades(
         victims = trim_victims(raw.read(), as_of, age_minutes=age_minutes, limit=limit)
         victims = kept(with_hour(victims, raw.table.ts_col))
         try:
-            touched = _hours(victims)
+            touched = hours_in(victims)
             survivors = raw.table.in_hours(touched).join(victims, "trade_id", "left_anti")
             raw.stage_hours(survivors, "trim", run_id)
         finally:
             victims.unpersist()
-        emptied = touched - _hours(raw.side.read())
+        emptied = touched - hours_in(raw.side.read())
     raw.apply("trim", run_id)
     raw.table.drop_hours(sorted(emptied))
 
 
-def _hours(df: DataFrame) -> set[str]:
-    return {row[0] for row in df.select("event_hour").distinct().collect()}
-
-
 def _set_aside(trades: DataFrame, quarantine: HourlyTable, source: str, batch_id: int) -> None:
     """Store the incomplete rows once per batch."""
     of_batch = (F.col("source") == source) & (F.col("batch_id") == batch_id)
