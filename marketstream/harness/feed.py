@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.latest import latest_candle_minutes, latest_ticker_minutes
 from ..operators.trades import minute_trade_agg
 from ..schemas import CHANNELS
+from ..sources.feed import read_archive_stream
 from ..streaming.runner import use_utc
 
 # Fixed values of the mapping, the same in the SQL twins.
@@ -25,11 +26,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
-def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed as a file stream. The glob also matches a table that is one file."""
+def feed_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    """The feed as a file stream. The glob also matches a table that is one file.
+
+    Without ``max_files`` the table is one batch. The stateful checks need that: files of the table
+    are in no order of time, so a watermark that moved between them would drop rows.
+    """
     table = events(spark, sf_dir)
-    stream = spark.readStream.schema(table.schema).parquet(f"{sf_dir}/events.parque[t]")
-    return market_feed(_spread(stream, table))
+    path = f"{sf_dir}/events.parque[t]"
+    return market_feed(_spread(read_archive_stream(spark, path, table.schema, max_files), table))
 
 
 def wire_source(spark: SparkSession, sf_dir: str) -> DataFrame:

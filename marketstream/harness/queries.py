@@ -51,6 +51,7 @@ BATCH_FROM = "2024-01-01 06:00:00"
 SPLIT_INSIDE_MINUTE = "2024-01-01 06:30:20"
 REPLAY_FROM, REPLAY_UNTIL = "2024-01-01 01:00:00", "2024-01-01 11:00:00"
 FALLBACK_TIME = "2024-01-02 00:00:00"
+FILES_PER_BATCH = 50_000
 
 TRADE_COLUMNS = ("trade_id", "product_id", "side", "size", "trade_value", "trade_time_utc")
 VOLUMES = ("total_volume", "buy_volume", "sell_volume", "notional_value")
@@ -257,7 +258,7 @@ def trim_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_streaming(spark)
     tables = _market_tables(spark, "fanout")
-    updates = _updates(f.feed_stream(spark, sf_dir))
+    updates = _updates(f.feed_stream(spark, sf_dir, max_files=FILES_PER_BATCH))
     drain(updates, sinks.batch_writer(tables), shared_dir(spark, "fanout"))
     stored = [tables.raw_trades.table, *tables.final_tables()]
     counts = [

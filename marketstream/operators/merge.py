@@ -15,14 +15,11 @@ def insert_new(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Data
 
     The target is first cut to the keys of the batch: a small batch is then the broadcast side
     (Spark checks its size) and the target is only scanned; a large one shuffles both by key once
-    and the second join reuses that layout.
+    and the second join reuses that layout. Copies of a key are reduced before each shuffle.
     """
     keys = list(keys)
-    incoming = batch
-    for key in keys:
-        incoming = incoming.where(F.col(key).isNotNull())
-    incoming = incoming.dropDuplicates(keys)
-    known = target.select(*keys).join(batch.select(*keys), keys, "left_semi")
+    incoming = batch.dropna(subset=keys).dropDuplicates(keys)
+    known = target.select(*keys).join(batch.select(*keys).distinct(), keys, "left_semi")
     return incoming.join(known, keys, "left_anti")
 
 
