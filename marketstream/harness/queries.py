@@ -257,7 +257,7 @@ def trim_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_streaming(spark)
-    tables = _market_tables(spark, "fanout")
+    tables = _market_tables(spark, "fanout").create()
     updates = _updates(f.feed_stream(spark, sf_dir, max_files=FILES_PER_BATCH))
     drain(updates, sinks.batch_writer(tables), shared_dir(spark, "fanout"))
     stored = [tables.raw_trades.table, *tables.final_tables()]
@@ -273,7 +273,7 @@ def fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     f.use_utc(spark)
-    tables = _market_tables(spark, "replay")
+    tables = _market_tables(spark, "replay").create()
     trades = prepare_trades(_updates(f.wire_source(spark, sf_dir), "market_trades"))
     sinks.write_trades(trades, tables, "live", 0)
     sinks.write_trades(trades, tables, "live", 0)  # the same batch again
@@ -283,7 +283,7 @@ def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _market_tables(spark: SparkSession, purpose: str) -> sinks.MarketTables:
-    return sinks.MarketTables.open(spark, TableNames(database=shared_database(spark, purpose)))
+    return sinks.MarketTables.of(spark, TableNames(database=shared_database(spark, purpose)))
 
 
 # Projections, filters, predicates
@@ -571,7 +571,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _run_minute_stream(spark: SparkSession, sf_dir: str, purpose: str, runs: int) -> DataFrame:
     configure_streaming(spark)
-    minutes = _market_tables(spark, purpose).trade_minutes
+    minutes = _market_tables(spark, purpose).trade_minutes.create()
     checkpoint = shared_dir(spark, purpose)
     for _ in range(runs):
         totals = aggregates.stream_minute_agg(_trade_stream(spark, sf_dir))
@@ -582,7 +582,7 @@ def _run_minute_stream(spark: SparkSession, sf_dir: str, purpose: str, runs: int
 @_query
 def stream_latest_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_streaming(spark)
-    snapshots = _market_tables(spark, "stream_ticker").ticker_minutes
+    snapshots = _market_tables(spark, "stream_ticker").ticker_minutes.create()
     tickers = prepare_tickers(_updates(f.feed_stream(spark, sf_dir), "ticker"))
     newest = aggregates.stream_latest_tickers(tickers)
     drain(newest, sinks.snapshot_writer(snapshots), shared_dir(spark, "stream_ticker"), "update")
@@ -592,7 +592,7 @@ def stream_latest_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def stream_latest_candle(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_streaming(spark)
-    snapshots = _market_tables(spark, "stream_candle").candle_minutes
+    snapshots = _market_tables(spark, "stream_candle").candle_minutes.create()
     candles = prepare_candles(_updates(f.feed_stream(spark, sf_dir), "candles"))
     newest = aggregates.stream_latest_candles(candles)
     drain(newest, sinks.snapshot_writer(snapshots), shared_dir(spark, "stream_candle"), "update")

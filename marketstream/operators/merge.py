@@ -18,7 +18,9 @@ def insert_new(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Data
     and the second join reuses that layout. Copies of a key are reduced before each shuffle.
     """
     keys = list(keys)
-    incoming = batch.dropna(subset=keys).dropDuplicates(keys)
+    for key in keys:
+        batch = batch.where(F.col(key).isNotNull())
+    incoming = batch.dropDuplicates(keys)
     known = target.select(*keys).join(batch.select(*keys).distinct(), keys, "left_semi")
     return incoming.join(known, keys, "left_anti")
 

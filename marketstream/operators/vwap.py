@@ -15,7 +15,7 @@ def cumulative_vwap(
 
     ``short_span=True`` is for a slice of minutes per product: one window per product. Otherwise
     the running sums are built in two levels, so no task holds the whole history of a product:
-    hourly totals carry into windows that each span one product-hour.
+    hourly totals carry into windows that each span one product-hour. Rows need product and time.
     """
     if short_span:
         w = Window.partitionBy("product_id").orderBy(ts_col)
@@ -24,13 +24,15 @@ def cumulative_vwap(
             "product_id", ts_col, ratio_or_null(notional, volume).alias("rolling_vwap")
         )
 
+    # The join below implies these null checks. Stated here they hold for both of its sides, which
+    # then share one exchange.
     rows = minutes.select(
         "product_id",
         ts_col,
         "notional_value",
         "total_volume",
         F.date_trunc("hour", ts_col).alias("span"),
-    )
+    ).where(F.col("product_id").isNotNull() & F.col("span").isNotNull())
     earlier = (
         Window.partitionBy("product_id")
         .orderBy("span")

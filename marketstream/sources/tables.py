@@ -61,9 +61,6 @@ class HourlyTable:
         )
         return self
 
-    def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.name)
-
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 

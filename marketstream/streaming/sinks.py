@@ -40,7 +40,7 @@ BatchWriter = Callable[[DataFrame, int], None]
 
 @dataclass(frozen=True)
 class MarketTables:
-    """All tables of one deployment."""
+    """All tables of one deployment. ``create`` makes those that are missing."""
 
     raw_trades: BatchTable
     trade_minutes: BatchTable
@@ -49,27 +49,41 @@ class MarketTables:
     quarantine: HourlyTable
 
     @classmethod
-    def open(cls, spark: SparkSession, names: TableNames) -> MarketTables:
-        """Create what is missing and return all."""
-
+    def of(cls, spark: SparkSession, names: TableNames) -> MarketTables:
         def hourly(name: str, columns: str, ts_col: str, *keys: str) -> HourlyTable:
             return HourlyTable(spark, names.full(name), columns, ts_col, keys)
 
         def snapshots(name: str, columns: str, ts_col: str) -> BatchTable:
-            return BatchTable(hourly(name, columns, ts_col, "product_id", ts_col)).create()
+            return BatchTable(hourly(name, columns, ts_col, "product_id", ts_col))
 
-        raw = hourly(names.raw_trades, RAW_TRADES, "trade_time_utc", "trade_id")
         return cls(
-            BatchTable(raw).create(),
+            BatchTable(hourly(names.raw_trades, RAW_TRADES, "trade_time_utc", "trade_id")),
             snapshots(names.trade_minutes, TRADE_MINUTES, "trade_time_utc"),
             snapshots(names.ticker_minutes, TICKER_MINUTES, "ticker_ts_utc"),
             snapshots(names.candle_minutes, CANDLE_MINUTES, "candle_ts_utc"),
-            hourly(names.quarantine, QUARANTINE, "quarantined_at_utc").create(),
+            hourly(names.quarantine, QUARANTINE, "quarantined_at_utc"),
         )
 
+    def create(self) -> MarketTables:
+        self.raw_trades.create()
+        for table in (self.trade_minutes, self.ticker_minutes, self.candle_minutes):
+            table.create()
+        self.quarantine.create()
+        return self
+
     def final_tables(self) -> list[HourlyTable]:
         return [self.trade_minutes.table, self.ticker_minutes.table, self.candle_minutes.table]
 
+    def logs(self) -> list[HourlyTable]:
+        """Ledgers and quarantine: also hourly, usually kept longer than the final tables."""
+        batch_tables = (
+            self.raw_trades,
+            self.trade_minutes,
+            self.ticker_minutes,
+            self.candle_minutes,
+        )
+        return [*(table.ledger for table in batch_tables), self.quarantine]
+
 
 def write_trades(trades: DataFrame, tables: MarketTables, source: str, batch_id: int) -> None:
     """New trades to the raw table, their measures added to the minute table, bad rows aside.

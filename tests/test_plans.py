@@ -8,6 +8,7 @@ from conftest import utc
 import __spark_entry__
 from marketstream.harness import feed as f
 from marketstream.operators import (
+    cumulative_vwap,
     dedup_trades,
     distinct_on,
     first_update_event,
@@ -139,3 +140,9 @@ def test_latest_value_of_all_products_sends_one_row_per_product_and_task(stored)
     plan = plan_of(dashboards.current_price(tickers))
     assert "partial_max_by" in plan
     assert "SortAggregate" not in plan
+
+
+def test_full_history_vwap_reads_its_input_once(spark, sf_dir):
+    result = cumulative_vwap(f.trade_minutes(f.feed(spark, sf_dir)))
+    result.collect()
+    assert "ReusedExchange" in plan_of(result)

@@ -48,7 +48,7 @@ def some_trades(first_minute, n, seed, copies_of=()):
 @pytest.fixture()
 def minutes(spark):
     names = TableNames(database=shared_database(spark, "stream"))
-    return sinks.MarketTables.open(spark, names).trade_minutes
+    return sinks.MarketTables.of(spark, names).trade_minutes.create()
 
 
 def totals(df):
@@ -125,7 +125,7 @@ def test_longer_horizon_takes_late_trades(spark, minutes):
 def test_latest_ticker_stream_equals_batch_in_any_file_order(spark):
     source, checkpoint = shared_dir(spark, "source"), shared_dir(spark, "checkpoint")
     names = TableNames(database=shared_database(spark, "stream"))
-    snapshots = sinks.MarketTables.open(spark, names).ticker_minutes
+    snapshots = sinks.MarketTables.of(spark, names).ticker_minutes.create()
     rows = [
         (n, START + timedelta(seconds=7 * n), n % 4 != 3, "AB"[n % 2], *[float(n)] * 9)
         for n in range(60)

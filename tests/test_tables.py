@@ -147,7 +147,8 @@ def test_old_snapshot_does_not_replace_newer(spark):
 
 @pytest.fixture()
 def market(spark):
-    return sinks.MarketTables.open(spark, TableNames(database=shared_database(spark, "test")))
+    names = TableNames(database=shared_database(spark, "test"))
+    return sinks.MarketTables.of(spark, names).create()
 
 
 def updates(spark, *ids, offset=0):
@@ -238,3 +239,14 @@ def test_shared_dir_follows_the_setting(spark):
     assert first != second
     if root:
         assert first.startswith(root.rstrip("/"))
+
+
+def test_retention_over_all_tables(spark, market):
+    write = sinks.batch_writer(market)
+    write(updates(spark, "1"), 0)
+    later = START + timedelta(hours=5)
+    dropped = drop_old_partitions(market.final_tables(), later)
+    assert set(map(tuple, dropped.values())) == {("20240101_00",)}
+    assert market.trade_minutes.read().count() == 0
+    assert all(not hours for hours in drop_old_partitions(market.logs(), keep_hours=24).values())
+    assert market.trade_minutes.states("live", 0) == {"staged", "applied"}
