@@ -40,6 +40,7 @@ from ..sources.feed import filter_products, read_archive_stream, replay_range, r
 from ..sources.shared import shared_database, shared_dir
 from ..sources.tables import HourlyTable
 from ..streaming import aggregates, sinks
+from ..streaming.batch_tables import kept
 from ..streaming.runner import configure_streaming, drain, late_rows
 from . import feed as f
 
@@ -274,10 +275,11 @@ def fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     f.use_utc(spark)
     tables = _market_tables(spark, "replay").create()
-    trades = prepare_trades(_updates(f.wire_source(spark, sf_dir), "market_trades"))
+    trades = kept(prepare_trades(_updates(f.wire_source(spark, sf_dir), "market_trades")))
     sinks.write_trades(trades, tables, "live", 0)
     sinks.write_trades(trades, tables, "live", 0)  # the same batch again
     sinks.write_trades(trades, tables, "backfill", 0)  # the same trades from another source
+    trades.unpersist()
     stored = tables.trade_minutes.read().drop("event_hour")
     return _out(stored, *VOLUMES)
 

@@ -109,8 +109,15 @@ class HourlyTable:
         return with_hour(df, self.ts_col).select(*self.read().columns)
 
     def _by_hour(self, df: DataFrame) -> DataFrame:
-        # Rebalancing by hour writes few files per hour and still splits an oversized hour.
-        return self._shaped(df).hint("rebalance", F.col("event_hour"))
+        """Rows laid out so that an hour is written as few files.
+
+        Rebalancing also splits an oversized hour. It needs adaptive execution, which Spark turns
+        off for the batches of stateful streams; those hold minute rows, so an hour fits a task.
+        """
+        rows = self._shaped(df)
+        if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            return rows.hint("rebalance", F.col("event_hour"))
+        return rows.repartition("event_hour")
 
 
 def drop_old_partitions(

@@ -40,6 +40,19 @@ def test_append_creates_hours_and_replace_touches_only_its_hours(spark, table):
     assert content(table.read()) == [(1, 1.0), (2, 9.0)]
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_an_hour_is_one_file(spark, table, adaptive):
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "UTC")
+    session.conf.set("spark.sql.adaptive.enabled", adaptive)
+    many = session.range(0, 600, 1, numPartitions=12).select(
+        "id", F.timestamp_seconds(1704067200 + F.col("id") % 120 * 60).alias("ts"), F.lit(1.0).alias("v")
+    )
+    table.append(many)
+    assert table.read().count() == 600
+    assert len(table.read().inputFiles()) == 2
+
+
 def test_slice_reads_only_its_hours_and_columns(spark, table):
     table.append(rows(spark, (1, 0, 1), (2, 70, 2), (3, 130, 3), (4, 190, 4)))
     part = table.slice(START + timedelta(minutes=70), START + timedelta(minutes=130))
