@@ -5,14 +5,39 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash_dedup
+from . import pii, simhash_dedup, source_mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    spans = found.spans
+    every = F.concat(spans, F.transform("linked", lambda s: F.struct(*(s[c].alias(c) for c in pii.SPAN))))
+    return found.select(
+        "doc_id",
+        *(pii.count_of(spans, kind).alias(f"n_{kind}") for kind in pii.PATTERNS),
+        F.sha2(pii.span_text(spans), 256).alias("base_sha256"),
+        pii.span_text(F.array_sort(every)).alias("spans"),
+        F.size("linked").cast("long").alias("n_linked"),
+    )
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = source_mixing.with_copies(_table(spark, sf_dir, "documents"))
+    return counted.select(
+        "doc_id",
+        F.col("mix_size").alias("size"),
+        F.col("mix_source_size").alias("source_size"),
+        F.col("mix_target").alias("target"),
+        (F.col("mix_size") * F.col("mix_copies")).alias("taken"),
+    )
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
     return groups.select(
@@ -21,5 +46,5 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op10_simhash_dedup,)
+    query.__name__: query for query in (op1_pii, op4_source_mixing, op10_simhash_dedup)
 }
