@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, simhash_dedup, source_mixing
+from . import language_id, pii, quality, simhash_dedup, source_mixing, toxicity
+from .common import remainder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +39,42 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    model = toxicity.train(docs, labels.filter(~held_out))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+        F.size("toxic_spans").alias("n_spans"),
+    )
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    model = language_id.train(docs, ~held_out)
+    named = language_id.predict(docs.select("doc_id", "text"), model)
+    return named.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    ratings = labels.filter(~held_out).select("doc_id", F.col("quality").alias("grade"))
+    scored = quality.score(docs.select("doc_id", "text"), quality.train(docs, ratings))
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "expected_grade",
+        F.col("tail").alias("score"),
+        (F.col("tail") >= 0.5).alias("kept"),
+    )
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
     return groups.select(
@@ -46,5 +83,12 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_pii, op4_source_mixing, op10_simhash_dedup)
+    query.__name__: query for query in (
+        op1_pii,
+        op4_source_mixing,
+        op5_toxicity,
+        op6_language_id,
+        op8_quality,
+        op10_simhash_dedup,
+    )
 }
