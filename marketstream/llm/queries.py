@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, pii, quality, simhash_dedup, source_mixing, toxicity
-from .common import remainder
+from . import (
+    decontamination,
+    language_id,
+    language_model,
+    pii,
+    quality,
+    simhash_dedup,
+    source_mixing,
+    toxicity,
+)
+from .common import remainder, stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +37,24 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 10) == 0
+    learned = docs.filter(~held_out)
+    counts = stored(language_model.count_words(learned), "counts")
+    model = language_model.train(learned, counts, F.col("doc_id"))
+    scored = language_model.score(docs, model, counts)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = source_mixing.with_copies(_table(spark, sf_dir, "documents"))
     return counted.select(
@@ -75,6 +102,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    looked = decontamination.with_hits(docs.select("doc_id", "text"), benchmark)
+    return looked.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
     return groups.select(
@@ -85,10 +118,12 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_pii,
+        op3_language_model,
         op4_source_mixing,
         op5_toxicity,
         op6_language_id,
         op8_quality,
+        op9_decontamination,
         op10_simhash_dedup,
     )
 }
