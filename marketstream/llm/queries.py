@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     decontamination,
+    embedding_dedup,
     language_id,
     language_model,
     pii,
@@ -88,6 +89,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     held_out = remainder(F.col("doc_id"), 5) == 0
@@ -122,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_source_mixing,
         op5_toxicity,
         op6_language_id,
+        op7_embedding_dedup,
         op8_quality,
         op9_decontamination,
         op10_simhash_dedup,
