@@ -46,22 +46,27 @@ class Disclosure:
     remove: float = 1.0 - 1e-9
 
 
-def _sums(steps: Column) -> Column:
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _sums(values: Column) -> Column:
     """Running sums of an array: by blocks, so that long arrays stay cheap."""
-    add = lambda values: F.aggregate(values, F.lit(0), lambda a, b: a + b)
+    add = lambda part: F.aggregate(part, F.lit(0), lambda a, b: a + b)
     block = lambda i: F.floor(i / SUM_BLOCK).cast("int")
-    blocks = F.transform(
-        F.sequence(F.lit(0), block(F.greatest(F.size(steps) - 1, F.lit(0)))),
-        lambda b: add(F.slice(steps, b * SUM_BLOCK + 1, F.lit(SUM_BLOCK))),
-    )
-    before = F.transform(F.sequence(F.lit(0), F.size(blocks) - 1), lambda b: add(F.slice(blocks, F.lit(1), b)))
-    inside = lambda i: add(F.slice(steps, block(i) * SUM_BLOCK + 1, i % SUM_BLOCK + 1))
-    return F.transform(steps, lambda _, i: F.get(before, block(i)) + inside(i))
 
+    def summed(steps: Column) -> Column:
+        last = block(F.greatest(F.size(steps) - 1, F.lit(0)))
+        blocks = F.transform(
+            F.sequence(F.lit(0), last), lambda b: add(F.slice(steps, b * SUM_BLOCK + 1, F.lit(SUM_BLOCK)))
+        )
+        inside = lambda i: add(F.slice(steps, block(i) * SUM_BLOCK + 1, i % SUM_BLOCK + 1))
+        before = lambda sums: F.transform(sums, lambda _, b: add(F.slice(sums, F.lit(1), b)))
+        ends = lambda starts: F.transform(steps, lambda _, i: F.get(starts, block(i)) + inside(i))
+        return _bound(blocks, lambda sums: _bound(before(sums), ends))
 
-def _bound(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` worked out once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+    return _bound(values, summed)
 
 
 def _located(text: Column, pattern: str) -> Column:
