@@ -16,6 +16,7 @@ from . import (
     quality,
     simhash_dedup,
     source_mixing,
+    suffix_dedup,
     toxicity,
 )
 from .common import remainder, stored
@@ -38,6 +39,18 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    passages = suffix_dedup.repeats(_table(spark, sf_dir, "documents"))
+    return passages.select(
+        F.col("doc").alias("doc_id"),
+        F.col("first_doc").alias("first_doc_id"),
+        "word_start",
+        "word_end",
+        (F.col("word_end") - F.col("word_start")).alias("n_words"),
+        "removed",
+    )
+
+
 def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = remainder(F.col("doc_id"), 10) == 0
@@ -123,6 +136,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_pii,
+        op2_suffix_dedup,
         op3_language_model,
         op4_source_mixing,
         op5_toxicity,
