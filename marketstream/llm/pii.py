@@ -294,11 +294,11 @@ def sanitise(docs: DataFrame, rule: Disclosure | None = None) -> DataFrame:
     rule = rule or Disclosure()
     slim = docs.select("doc_id", "text")
     linked = _linked(slim, _with_found(slim, rule), rule)
-    keyed = docs.withColumn("_text_key", _text_key(F.col("text")))
-    both = keyed.join(linked.withColumnRenamed("text_key", "_text_key").withColumnRenamed("linked", "_linked"), "_text_key", "left")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), "text", _text_key(F.col("text")).alias("text_key"))
+    both = keyed.join(linked, "text_key", "left")
     label = lambda s: F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
     base = F.transform(base_spans(F.col("text")), lambda s: F.struct(*(s[c].alias(c) for c in SPAN), label(s).alias("label")))
     none = F.array().cast(linked.schema["linked"].dataType)
-    spans = F.array_sort(F.concat(base, F.coalesce("_linked", none)))
-    both = both.withColumn("_spans", spans).withColumn("text", redacted(F.col("text"), F.col("_spans")))
-    return both.select(*docs.columns)
+    spans = F.array_sort(F.concat(base, F.coalesce("linked", none)))
+    clean = both.withColumn("spans", spans).withColumn("text", redacted(F.col("text"), F.col("spans")))
+    return clean.select(F.col("row").withField("text", F.col("text")).alias("row")).select("row.*")

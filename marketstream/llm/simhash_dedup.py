@@ -180,8 +180,8 @@ def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     without ``doc_id`` are kept, as nothing names them.
     """
     groups = near_duplicates(docs, radius).filter("doc_id = component_id")
-    kept = groups.select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = docs.filter("doc_id is not null").join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi")
+    named = docs.filter("doc_id is not null").join(groups.select("doc_id").distinct(), "doc_id", "left_semi")
+    named = named.select(*docs.columns)
     return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.filter("doc_id is null"))
 
 

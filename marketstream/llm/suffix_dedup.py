@@ -203,8 +203,8 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with its columns; each repeated passage stays in its first document only."""
     small_batches(docs.sparkSession)
-    spans = repeats(docs).filter("removed").groupBy(F.col("doc").alias("_doc")).agg(
-        F.collect_list(F.struct("word_start", "word_end")).alias("_spans")
+    spans = repeats(docs).filter("removed").groupBy("doc").agg(
+        F.collect_list(F.struct("word_start", "word_end")).alias("spans")
     )
 
     def cut(text: pa.Array, found: pa.Array) -> pa.Array:
@@ -213,6 +213,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             [t if t is None or not s else cut_words(t, [tuple(x.values()) for x in s]) for t, s in pairs], pa.string()
         )
 
-    joined = docs.withColumn("_doc", _doc()).join(spans, "_doc", "left")
-    changed = F.when(F.col("_spans").isNotNull(), F.arrow_udf(cut, "string")("text", "_spans")).otherwise(F.col("text"))
-    return joined.withColumn("text", changed).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text", _doc().alias("doc")).join(spans, "doc", "left")
+    changed = F.when(F.col("spans").isNotNull(), F.arrow_udf(cut, "string")("text", "spans")).otherwise(F.col("text"))
+    return rows.select(F.col("row").withField("text", changed).alias("row")).select("row.*")
