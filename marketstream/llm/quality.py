@@ -54,7 +54,7 @@ def features(text: bytes) -> np.ndarray:
 class Training:
     """At most about ``sample`` labelled rows are fitted, chosen by hashed id: a stated bound."""
 
-    sample: int = 6000
+    sample: int = 4000
     epochs: int = 30
     rate: float = 0.05
     decay: float = 1e-5
@@ -90,7 +90,7 @@ def fit(x: np.ndarray, grade: np.ndarray, training: Training) -> Model:
     order = np.random.default_rng(training.seed)
     for _ in range(training.epochs):
         for rows in np.array_split(order.permutation(len(x)), max(1, len(x) // 64)):
-            part, lev = x[rows], level[rows]
+            part, lev = x[rows].astype(float), level[rows]
             tail = 1 / (1 + np.exp(-(np.clip(part @ weights, -30, 30)[:, None] - thresholds)))
             edge = np.hstack([np.ones((len(rows), 1)), tail, np.zeros((len(rows), 1))])
             at = np.arange(len(rows))
@@ -139,7 +139,7 @@ def train(docs: DataFrame, ratings: DataFrame, training: Training | None = None)
     grade, packed = table.column("grade").to_numpy(), table.column("x").to_pylist()
     order = sorted(range(len(packed)), key=lambda i: (packed[i], grade[i]))  # the same fit on every run
     x = np.frombuffer(b"".join(packed[i] for i in order), np.float32).reshape(-1, WIDTH)
-    return fit(x.astype(float), grade[order], training)
+    return fit(x, grade[order], training)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
