@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import hashed_sample, small_batches, texts_as_bytes, words_of
 
-BUCKETS = 1 << 22
+BUCKETS = 1 << 20
 #: Which features may label a token: the word and its two longer beginnings.
 LABELLING, FEATURES = 3, 6
 WINDOW = 40
@@ -44,8 +44,8 @@ class Training:
     ``purity``: share of its occurrences that must be in toxic documents.
     """
 
-    documents: int = 6000
-    words: int = 3000
+    documents: int = 4000
+    words: int = 1000
     evidence: float = 18.0
     purity: float = 0.9
     epochs: int = 6
@@ -163,19 +163,17 @@ def fit_field(tokens: np.ndarray, doc: np.ndarray, labels: np.ndarray, training:
     first = inside.argmax(axis=1)
     at = np.minimum(at[np.arange(len(at)), first][:, None] + np.arange(WINDOW), len(tokens) - 1)
     lengths = (doc[at] == doc[middles][:, None]).cumprod(axis=1).sum(axis=1)
-    ids, packed = np.unique(tokens, return_inverse=True)
-    packed = packed.reshape(tokens.shape)
-    weights, squares = np.zeros(len(ids)), np.full(len(ids), 1e-6)
+    weights, squares = np.zeros(BUCKETS), np.full(BUCKETS, 1e-6)
     bias, moves, moves_squares = -4.0, np.zeros((2, 2)), np.full((2, 2), 1e-6)
     bias_square = 1e-6
     for _ in range(training.epochs):
         for rows in np.array_split(random.permutation(len(at)), max(1, len(at) // 256)):
             use = np.arange(WINDOW) < lengths[rows][:, None]
             flat, size = at[rows][use], lengths[rows]
-            scores = bias + weights[packed[flat]].sum(axis=1)
+            scores = bias + weights[tokens[flat]].sum(axis=1)
             p = marginals(scores, size, moves)
             gap = labels[flat] - p
-            touched, place = np.unique(packed[flat], return_inverse=True)
+            touched, place = np.unique(tokens[flat], return_inverse=True)
             slope = np.bincount(place.ravel(), np.repeat(gap, FEATURES)) / len(rows)
             squares[touched] += slope**2
             weights[touched] += training.rate * slope / np.sqrt(squares[touched])
@@ -185,8 +183,8 @@ def fit_field(tokens: np.ndarray, doc: np.ndarray, labels: np.ndarray, training:
             pairs = _pair_gaps(scores, p, labels[flat], size, moves) / len(rows)
             moves_squares += pairs**2
             moves += 0.1 * training.rate * pairs / np.sqrt(moves_squares)
-    keep = np.abs(weights) > 1e-3
-    model.weights = dict(zip(ids[keep].tolist(), weights[keep].tolist(), strict=True))
+    keep = np.flatnonzero(np.abs(weights) > 1e-3)
+    model.weights = dict(zip(keep.tolist(), weights[keep].tolist(), strict=True))
     model.bias, model.transitions = float(bias), moves
     return model
 
@@ -266,9 +264,12 @@ def train(docs: DataFrame, labels: DataFrame, training: Training | None = None)
         return Field()
     doc = np.repeat(np.arange(len(order)), lengths)
     model = fit_field(tokens, doc, label_tokens(tokens, doc, toxic, training), training)
-    lookup = np.zeros(BUCKETS, np.float32)
+    lookup = np.zeros(BUCKETS)
     lookup[list(model.weights)] = list(model.weights.values())
-    values = marginals(model.bias + lookup[tokens].sum(axis=1), lengths, model.transitions)
+    scores = np.full(len(tokens), model.bias)
+    for column in tokens.T:
+        scores += lookup[column]
+    values = marginals(scores, lengths, model.transitions)
     model.calibration = calibrate(_summary(values, lengths), toxic)
     return model
 
