@@ -72,11 +72,16 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 def dense(nexts: list[dict[int, int]]) -> np.ndarray:
-    """Next state by state and symbol; where there is none, the state after a restart, plus ``FAIL``."""
-    restart = np.zeros(SYMBOLS, np.int32)
+    """Next state by state and symbol; where there is none, the state after a restart, plus ``FAIL``.
+
+    The last state follows a symbol that the text lacks: such a symbol is a phrase of its own.
+    """
+    lost = len(nexts)
+    restart = np.full(SYMBOLS, lost, np.int32)
     for symbol, state in nexts[0].items():
         restart[symbol] = state
-    table = np.tile(restart | FAIL, (len(nexts), 1))
+    table = np.tile(restart | FAIL, (lost + 1, 1))
+    table[0] = restart
     for state, row in enumerate(nexts):
         for symbol, target in row.items():
             table[state, symbol] = target

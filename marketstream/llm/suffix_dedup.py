@@ -87,39 +87,32 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of sorted suffixes, those equal to a neighbour, and the first and last of the partition.
 
-    ``single`` marks an outer one that has no equal neighbour here; it may have one next door.
+    ``single`` marks an outer one that has no equal neighbour here; it may have one next door. The
+    last row of a batch waits for the next one, with the key before it.
     """
     held: pa.RecordBatch | None = None
-    first = True
+    before: int | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
         if held is not None:
             batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        yield from _compared(batch, first, False)
-        first, held = False, batch.slice(max(0, batch.num_rows - 2))
+        yield from _judged(batch, before, False)
+        if batch.num_rows > 1:
+            before = batch.column("key")[batch.num_rows - 2].as_py()
+        held = batch.slice(batch.num_rows - 1)
     if held is not None:
-        yield from _compared(held, first, True)
+        yield from _judged(held, before, True)
 
 
-def _compared(batch: pa.RecordBatch, first: bool, last: bool) -> Iterator[pa.RecordBatch]:
-    """Judges all rows but the last one, which waits for its right neighbour unless it is the last.
-
-    Rows before the held pair have been judged already: a batch after the first brings two rows along,
-    of which only the second is new.
-    """
+def _judged(batch: pa.RecordBatch, before: int | None, last: bool) -> Iterator[pa.RecordBatch]:
+    """All rows but the last one, or that too if none follows."""
     keys = batch.column("key").to_numpy()
     same = keys[1:] == keys[:-1]
-    equal = np.append(False, same) | np.append(same, False)
-    due = np.ones(len(keys), bool)
-    due[-1] = last
+    equal = np.append(before is not None and keys[0] == before, same) | np.append(same, False)
     outer = np.zeros(len(keys), bool)
-    if first:
-        outer[0] = True
-    elif len(keys) > 1:
-        due[0] = False
-    if last:
-        outer[-1] = True
+    outer[0], due = before is None, np.ones(len(keys), bool)
+    outer[-1], due[-1] = outer[-1] or last, last
     chosen = np.flatnonzero(due & (equal | outer))
     if len(chosen):
         rows = batch.take(pa.array(chosen))
