@@ -19,6 +19,7 @@ from ..streaming.runner import use_utc
 PRODUCTS = ("BTC-USD", "ETH-USD", "LINK-USD", "SOL-USD")
 ORIGIN_MICROS = 1_704_067_200_000_000
 SLOWDOWN = 60
+HOURS, FILES_PER_HOUR = 12, 2
 MICROS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -26,27 +27,34 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
-def feed_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    """The feed as a file stream. The glob also matches a table that is one file.
+def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as a file stream, in no order of time. The glob also matches a table of one file."""
+    path = f"{sf_dir}/events.parque[t]"
+    return market_feed(read_archive_stream(spark, path, events(spark, sf_dir).schema))
+
 
-    Without ``max_files`` the table is one batch. The stateful checks need that: files of the table
-    are in no order of time, so a watermark that moved between them would drop rows.
+def write_hours(spark: SparkSession, sf_dir: str, path: str, hours: range) -> None:
+    """Hours of the feed, one after another, as a log would bring them; the last one takes the rest.
+
+    An hour repeats what came in the five minutes before it, so copies arrive in another batch.
     """
-    table = events(spark, sf_dir)
-    path = f"{sf_dir}/events.parque[t]"
-    return market_feed(_spread(read_archive_stream(spark, path, table.schema, max_files), table))
+    rows = feed(spark, sf_dir)
+    seconds = F.col("ts").cast("long") - ORIGIN_MICROS // 1_000_000
+    hour = F.least(F.floor(seconds / 3600), F.lit(HOURS - 1))
+    for number in hours:
+        again = seconds.between(number * 3600 - 300, number * 3600 - 1)
+        part = rows.where((hour == number) | again)
+        part.repartition(FILES_PER_HOUR).write.mode("append").parquet(path)
 
 
-def wire_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed for packing into messages."""
-    table = events(spark, sf_dir)
-    return market_feed(_spread(table, table))
+def hourly_stream(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """Stream of what ``write_hours`` wrote: one hour per trigger."""
+    return read_archive_stream(spark, path, feed(spark, sf_dir).schema, FILES_PER_HOUR)
 
 
-def _spread(df: DataFrame, table: DataFrame) -> DataFrame:
-    """Packing and parsing are heavy per row: spread a table with fewer splits than cores."""
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if table.rdd.getNumPartitions() < cores else df
+def wire_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed for packing into messages."""
+    return feed(spark, sf_dir)
 
 
 def market_feed(events_df: DataFrame) -> DataFrame:

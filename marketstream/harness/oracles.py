@@ -182,6 +182,15 @@ def oracle_sql() -> dict[str, str]:
                           _FEED, _TICKERS, _TICKER_MINUTES)
     candle_minutes = _sql(f"\nSELECT {_CANDLE_COLUMNS}, kafka_offset FROM candle_minutes",
                           _FEED, _CANDLES, _CANDLE_MINUTES)
+    quarantine = _sql(
+            """
+SELECT CASE WHEN event_type = 'click' THEN trade_id END AS trade_id, product_id, side,
+       CASE WHEN event_type = 'view' THEN size END AS size,
+       CASE WHEN event_type = 'view' THEN trade_value END AS trade_value, trade_time_utc,
+       CASE event_type WHEN 'click' THEN 'size,trade_value' ELSE 'trade_id' END AS missing
+FROM sent_trades WHERE event_type IN ('click', 'view')""",
+            _FEED, _COPIES, _SENT, _SENT_TRADES,
+        )
     return {
         "feed_source": _sql(
             """
@@ -260,6 +269,53 @@ GROUP BY 1""",
             _FEED, _MINUTES,
         ),
         "replay_idempotent": minutes,
+        "replay_new_checkpoint": minutes,
+        "fanout_contents": _sql(
+            """
+SELECT 'trade' AS kind, trade_id AS item, product_id, trade_time_utc AS ts, round(size, 4) AS a,
+       round(trade_value, 4) AS b FROM trades
+UNION ALL
+SELECT 'minute', CAST(trade_count AS VARCHAR), product_id, trade_time_utc, round(total_volume, 4),
+       round(notional_value, 4) FROM minutes
+UNION ALL
+SELECT 'ticker', '', product_id, ticker_ts_utc, round(price, 4), round(best_ask, 4) FROM ticker_minutes
+UNION ALL
+SELECT 'candle', '', product_id, candle_ts_utc, round(close, 4), round(avg_price, 4) FROM candle_minutes""",
+            _FEED, _TRADES, _MINUTES, _TICKERS, _TICKER_MINUTES, _CANDLES, _CANDLE_MINUTES,
+        ),
+        "one_product_latest": _sql(
+            """
+SELECT unnest(['price', 'high_24h', 'low_24h', 'price_pct_chg_24h', 'volume_24h']) AS name,
+       unnest([price, high_24h, low_24h, price_pct_chg_24h, volume_24h]) AS value
+FROM (SELECT * FROM ticker_minutes WHERE product_id = 'ETH-USD'
+      AND ticker_ts_utc BETWEEN TIMESTAMP '2024-01-01 06:00:00' AND TIMESTAMP '2024-01-01 06:17:00'
+      ORDER BY ticker_ts_utc DESC LIMIT 1)
+UNION ALL
+SELECT unnest(['open', 'high', 'low', 'close', 'avg_price', 'range']) AS name,
+       unnest([open, high, low, close, avg_price, range]) AS value
+FROM (SELECT * FROM candle_minutes WHERE product_id = 'ETH-USD'
+      AND candle_ts_utc BETWEEN TIMESTAMP '2024-01-01 06:00:00' AND TIMESTAMP '2024-01-01 06:17:00'
+      ORDER BY candle_ts_utc DESC LIMIT 1)""",
+            _FEED, _TICKERS, _TICKER_MINUTES, _CANDLES, _CANDLE_MINUTES,
+        ),
+        "one_product_30m": _sql(
+            """
+SELECT unnest(['buy_volume_30m', 'sell_volume_30m', 'trade_count_30m']) AS name,
+       unnest([round(sum(buy_volume), 4), round(sum(sell_volume), 4),
+               CAST(sum(trade_count) AS DOUBLE)]) AS value
+FROM minutes WHERE product_id = 'ETH-USD'
+  AND trade_time_utc BETWEEN TIMESTAMP '2024-01-01 05:47:00' AND TIMESTAMP '2024-01-01 06:17:00'""",
+            _FEED, _MINUTES,
+        ),
+        "one_product_chart": _sql(
+            f"""
+SELECT time_ist, price, rolling_vwap FROM ({_VWAP_CHART}) WHERE product_id = 'ETH-USD'
+  AND ts_utc <= (SELECT as_of FROM now_)""",
+            _FEED,
+            """
+now_ AS (SELECT TIMESTAMP '2024-01-01 06:17:00' AS as_of)""",
+            _MINUTES, _TICKERS, _TICKER_MINUTES,
+        ),
         "parse_envelope": _sql(
             """
 SELECT "offset" * 2 + copy AS "offset", product_id AS kafka_key, channel,
@@ -317,7 +373,12 @@ JOIN (VALUES (true, 1), (false, 2)) i(last_in_message, needs) ON i.needs <= s.n_
             _FEED, _COPIES, _SENT, _CANDLES,
         ),
         "product_fallback": _sql(
-            "\nSELECT kafka_offset, product_id FROM sent", _FEED, _COPIES, _SENT
+            """
+SELECT k.kind, CASE k.kind WHEN 'trade' THEN s.trade_id ELSE CAST(s.kafka_offset AS VARCHAR) END AS item,
+       s.product_id
+FROM sent s CROSS JOIN (SELECT unnest(['ticker', 'candle', 'trade']) AS kind) k
+JOIN (VALUES (1), (2)) i(needs) ON i.needs <= s.n_items""",
+            _FEED, _COPIES, _SENT,
         ),
         "safe_casts": _sql(
             """
@@ -346,15 +407,7 @@ FROM feed GROUP BY 1""",
 SELECT {_TRADE_COLUMNS} FROM sent_trades WHERE event_type NOT IN ('click', 'view')""",
             _FEED, _COPIES, _SENT, _SENT_TRADES,
         ),
-        "quarantine_rows": _sql(
-            """
-SELECT CASE WHEN event_type = 'click' THEN trade_id END AS trade_id, product_id, side,
-       CASE WHEN event_type = 'view' THEN size END AS size,
-       CASE WHEN event_type = 'view' THEN trade_value END AS trade_value, trade_time_utc,
-       CASE event_type WHEN 'click' THEN 'size,trade_value' ELSE 'trade_id' END AS missing
-FROM sent_trades WHERE event_type IN ('click', 'view')""",
-            _FEED, _COPIES, _SENT, _SENT_TRADES,
-        ),
+        "quarantine_rows": quarantine,
         "minute_trade_agg": minutes,
         "buy_sell_volume": _sql(
             """
@@ -420,6 +473,12 @@ FROM feed""",
         "stream_dedup": _sql(f"\nSELECT {_TRADE_COLUMNS} FROM trades", _FEED, _TRADES),
         "stream_minute_agg": minutes,
         "stream_restart": minutes,
+        "stream_quarantine": quarantine,
+        "stream_minute_valid": _sql(
+            _ROUNDED_MINUTES,
+            _FEED.replace("FROM events", "FROM events WHERE event_type NOT IN ('click', 'view')"),
+            _MINUTES,
+        ),
         "stream_latest_ticker": _sql(
             f"\nSELECT {_TICKER_COLUMNS} FROM ticker_minutes", _FEED, _TICKERS, _TICKER_MINUTES
         ),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +44,7 @@ from ..sources.shared import shared_database, shared_dir
 from ..sources.tables import HourlyTable
 from ..streaming import aggregates, sinks
 from ..streaming.batch_tables import kept
-from ..streaming.runner import configure_streaming, drain, late_rows
+from ..streaming.runner import LateRows, configure_streaming, drain
 from . import feed as f
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,7 +55,9 @@ BATCH_FROM = "2024-01-01 06:00:00"
 SPLIT_INSIDE_MINUTE = "2024-01-01 06:30:20"
 REPLAY_FROM, REPLAY_UNTIL = "2024-01-01 01:00:00", "2024-01-01 11:00:00"
 FALLBACK_TIME = "2024-01-02 00:00:00"
-FILES_PER_BATCH = 50_000
+TRIM_LIMIT = 5000
+AS_OF = "2024-01-01 06:17:00"
+ONE_PRODUCT = "ETH-USD"
 
 TRADE_COLUMNS = ("trade_id", "product_id", "side", "size", "trade_value", "trade_time_utc")
 VOLUMES = ("total_volume", "buy_volume", "sell_volume", "notional_value")
@@ -188,25 +193,22 @@ def insert_new_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def upsert_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed_df = f.feed(spark, sf_dir)
-    merged = upsert_replace(
-        f.ticker_minutes(_until(feed_df, STORED_UNTIL)),
-        f.ticker_minutes(_since(feed_df, BATCH_FROM)),
-        ["product_id", "ticker_ts_utc"],
-        "kafka_offset",
-    )
-    return _out(merged)
+    return _out(_upserted(feed_df, f.ticker_minutes, "ticker_ts_utc"))
 
 
 @_query
 def upsert_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed_df = f.feed(spark, sf_dir)
-    merged = upsert_replace(
-        f.candle_minutes(_until(feed_df, STORED_UNTIL)),
-        f.candle_minutes(_since(feed_df, BATCH_FROM)),
-        ["product_id", "candle_ts_utc"],
-        "kafka_offset",
-    )
-    return _out(merged)
+    return _out(_upserted(feed_df, f.candle_minutes, "candle_ts_utc"))
+
+
+def _upserted(feed_df: DataFrame, minutes: Callable, ts_col: str) -> DataFrame:
+    """Even offsets stored, odd ones merged into the same minutes, then the stored ones replayed."""
+    odd = F.col("offset") % 2 == 1
+    stored, batch = minutes(feed_df.where(~odd)), minutes(feed_df.where(odd))
+    keys = ["product_id", ts_col]
+    once = upsert_replace(stored, batch, keys, "kafka_offset")
+    return upsert_replace(once, stored, keys, "kafka_offset")
 
 
 @_query
@@ -245,13 +247,13 @@ def _stored_trade_minutes(spark: SparkSession, sf_dir: str) -> HourlyTable:
 @_query
 def trim_victims_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed_df = f.feed(spark, sf_dir)
-    return _out(trim_victims(f.as_trades(feed_df), f.newest_time(feed_df)))
+    return _out(trim_victims(f.as_trades(feed_df), f.newest_time(feed_df), limit=TRIM_LIMIT))
 
 
 @_query
 def trim_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed_df = f.feed(spark, sf_dir)
-    rest = trim_rows(f.as_trades(feed_df), f.newest_time(feed_df))
+    rest = trim_rows(f.as_trades(feed_df), f.newest_time(feed_df), limit=TRIM_LIMIT)
     return _out(rest.select("trade_id", "product_id", "trade_time_utc"))
 
 
@@ -259,8 +261,7 @@ def trim_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fanout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_streaming(spark)
     tables = _market_tables(spark, "fanout").create()
-    updates = _updates(f.feed_stream(spark, sf_dir, max_files=FILES_PER_BATCH))
-    drain(updates, sinks.batch_writer(tables), shared_dir(spark, "fanout"))
+    _run_fanout(spark, sf_dir, tables)
     stored = [tables.raw_trades.table, *tables.final_tables()]
     counts = [
         table.read().agg(F.count("*").alias("n")).select(
@@ -284,6 +285,67 @@ def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(stored, *VOLUMES)
 
 
+@_query
+def fanout_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the fan-out stored, table by table, over twelve batches with copies across them."""
+    configure_streaming(spark)
+    tables = _market_tables(spark, "fanout").create()
+    _run_fanout(spark, sf_dir, tables)
+    rows = [
+        tables.raw_trades.read().selectExpr(
+            "'trade' AS kind", "trade_id AS item", "product_id", "trade_time_utc AS ts", "size AS a", "trade_value AS b"
+        ),
+        tables.trade_minutes.read().selectExpr(
+            "'minute' AS kind", "CAST(trade_count AS STRING) AS item", "product_id", "trade_time_utc AS ts",
+            "total_volume AS a", "notional_value AS b",
+        ),
+        tables.ticker_minutes.read().selectExpr(
+            "'ticker' AS kind", "'' AS item", "product_id", "ticker_ts_utc AS ts", "price AS a", "best_ask AS b"
+        ),
+        tables.candle_minutes.read().selectExpr(
+            "'candle' AS kind", "'' AS item", "product_id", "candle_ts_utc AS ts", "close AS a", "avg_price AS b"
+        ),
+    ]
+    return _out(reduce(DataFrame.unionByName, rows), "a", "b")
+
+
+def _run_fanout(spark: SparkSession, sf_dir: str, tables: sinks.MarketTables) -> None:
+    log = shared_dir(spark, "fanout_log")
+    f.write_hours(spark, sf_dir, log, range(f.HOURS))
+    updates = _updates(f.hourly_stream(spark, sf_dir, log))
+    drain(updates, sinks.batch_writer(tables), shared_dir(spark, "fanout"))
+
+
+@_query
+def replay_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with the same batch ids, and a backfill between the failure and the retry of one."""
+    f.use_utc(spark)
+    tables = _market_tables(spark, "replay").create()
+    trades = kept(prepare_trades(_updates(f.wire_source(spark, sf_dir), "market_trades")))
+    third = F.pmod(F.crc32("trade_id"), F.lit(3))
+    parts = [trades.where(third == n) for n in range(3)]
+    sinks.write_trades(parts[0], tables, "live@first", 0)
+    _fail_before_apply(parts[1], tables, "live@second", 0)
+    sinks.write_trades(parts[2].unionByName(parts[1]), tables, "backfill", 0)
+    sinks.write_trades(parts[1], tables, "live@second", 0)
+    trades.unpersist()
+    return _out(tables.trade_minutes.read().drop("event_hour"), *VOLUMES)
+
+
+class _Lost(RuntimeError):
+    """A failure made on purpose."""
+
+
+def _fail_before_apply(trades: DataFrame, tables: sinks.MarketTables, source: str, batch_id: int) -> None:
+    class Failing(type(tables.trade_minutes)):
+        def apply(self, staged) -> None:
+            raise _Lost
+
+    broken = replace(tables, trade_minutes=Failing(tables.trade_minutes.table))
+    with contextlib.suppress(_Lost):
+        sinks.write_trades(trades, broken, source, batch_id)
+
+
 def _market_tables(spark: SparkSession, purpose: str) -> sinks.MarketTables:
     return sinks.MarketTables.of(spark, TableNames(database=shared_database(spark, purpose)))
 
@@ -360,8 +422,15 @@ def prepare_candles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def product_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    candles = prepare_candles(_updates(f.wire_source(spark, sf_dir), "candles"))
-    return candles.where("last_in_message").select("kafka_offset", "product_id")
+    feed_df = f.wire_source(spark, sf_dir)
+    tickers = prepare_tickers(_updates(feed_df, "ticker"))
+    candles = prepare_candles(_updates(feed_df, "candles"))
+    trades = prepare_trades(_updates(feed_df, "market_trades"))
+    items = tickers.selectExpr("'ticker' AS kind", "CAST(kafka_offset AS STRING) AS item", "product_id")
+    items = items.unionByName(
+        candles.selectExpr("'candle' AS kind", "CAST(kafka_offset AS STRING) AS item", "product_id")
+    )
+    return items.unionByName(trades.selectExpr("'trade' AS kind", "trade_id AS item", "product_id"))
 
 
 @_query
@@ -515,6 +584,60 @@ def latest_candle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboards.latest_candle(f.candle_minutes(f.feed(spark, sf_dir)))
 
 
+def _stored_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Ticker, candle and trade minutes in hourly tables, as dashboards read them."""
+    tables = _market_tables(spark, "dashboards")
+    feed_df = f.feed(spark, sf_dir)
+    stored = []
+    for table, rows in (
+        (tables.ticker_minutes.table, f.ticker_minutes(feed_df)),
+        (tables.candle_minutes.table, f.candle_minutes(feed_df)),
+        (tables.trade_minutes.table, f.trade_minutes(feed_df)),
+    ):
+        table.create().append(rows)
+        stored.append(table.read())
+    return tuple(stored)
+
+
+@_query
+def one_product_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest-value questions for one product, in the middle of the data."""
+    tickers, candles, _ = _stored_snapshots(spark, sf_dir)
+    at = F.lit(AS_OF).cast("timestamp")
+    since = F.lit(BATCH_FROM).cast("timestamp")
+    asked = (
+        dashboards.current_price, dashboards.high_24h, dashboards.low_24h,
+        dashboards.price_change_24h, dashboards.volume_24h,
+    )
+    rows = []
+    for question in asked:
+        answer = question(tickers, ONE_PRODUCT, as_of=at, since=since)
+        rows.append(answer.select(F.lit(answer.columns[0]).alias("name"), F.col(answer.columns[0]).alias("value")))
+    candle = dashboards.latest_candle(candles, ONE_PRODUCT, as_of=at, since=since)
+    rows += [candle.select(F.lit(c).alias("name"), F.col(c).alias("value")) for c in candle.columns]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@_query
+def one_product_30m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The half-hour sums for one product, in the middle of the data."""
+    _, _, minutes = _stored_snapshots(spark, sf_dir)
+    at = F.lit(AS_OF).cast("timestamp")
+    rows = []
+    for question in (dashboards.buy_volume_30m, dashboards.sell_volume_30m, dashboards.trade_count_30m):
+        answer = question(minutes, ONE_PRODUCT, as_of=at)
+        value = F.round(F.col(answer.columns[0]).cast("double"), 4)
+        rows.append(answer.select(F.lit(answer.columns[0]).alias("name"), value.alias("value")))
+    return reduce(DataFrame.unionByName, rows)
+
+
+@_query
+def one_product_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tickers, _, minutes = _stored_snapshots(spark, sf_dir)
+    at = F.lit(AS_OF).cast("timestamp")
+    return _out(dashboards.rolling_vwap_and_price(tickers, minutes, ONE_PRODUCT, at), "rolling_vwap")
+
+
 # Scalar functions
 
 
@@ -545,39 +668,82 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Streaming
+# Streaming: the feed in order of time, one hour per trigger, with copies across triggers
 
 
-def _trade_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare_trades(_updates(f.feed_stream(spark, sf_dir), "market_trades"))
+def _item_stream(spark: SparkSession, sf_dir: str, log: str, channel: str, malformed: bool = False) -> DataFrame:
+    return _updates(f.hourly_stream(spark, sf_dir, log), channel, malformed=malformed)
+
+
+def _whole_log(spark: SparkSession, sf_dir: str, purpose: str) -> str:
+    log = shared_dir(spark, f"{purpose}_log")
+    f.write_hours(spark, sf_dir, log, range(f.HOURS))
+    return log
 
 
 @_query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_streaming(spark)
-    out = shared_dir(spark, "stream_dedup")
-    trades = aggregates.stream_dedup(_trade_stream(spark, sf_dir)).select(*TRADE_COLUMNS)
+    out, log = shared_dir(spark, "stream_dedup"), _whole_log(spark, sf_dir, "stream_dedup")
+    trades = prepare_trades(_item_stream(spark, sf_dir, log, "market_trades"))
+    trades = aggregates.stream_dedup(trades).select(*TRADE_COLUMNS)
     drain(trades, sinks.archive_writer(f"{out}/trades"), f"{out}/checkpoint")
     return _out(sinks.read_archive(spark, f"{out}/trades", trades.schema))
 
 
+def _minute_totals(spark: SparkSession, sf_dir: str, log: str, malformed: bool = False) -> DataFrame:
+    trades = prepare_trades(_item_stream(spark, sf_dir, log, "market_trades", malformed))
+    return aggregates.stream_minute_agg(trades)
+
+
 @_query
 def stream_minute_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run_minute_stream(spark, sf_dir, "stream_minute_agg", runs=1)
+    return _run_minute_stream(spark, sf_dir, "stream_minute_agg", malformed=False)
 
 
 @_query
-def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run_minute_stream(spark, sf_dir, "stream_restart", runs=2)
+def stream_minute_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed rows in the feed: the totals are those of the valid ones."""
+    return _run_minute_stream(spark, sf_dir, "stream_minute_valid", malformed=True)
 
 
-def _run_minute_stream(spark: SparkSession, sf_dir: str, purpose: str, runs: int) -> DataFrame:
+def _run_minute_stream(spark: SparkSession, sf_dir: str, purpose: str, malformed: bool) -> DataFrame:
     configure_streaming(spark)
     minutes = _market_tables(spark, purpose).trade_minutes.create()
-    checkpoint = shared_dir(spark, purpose)
-    for _ in range(runs):
-        totals = aggregates.stream_minute_agg(_trade_stream(spark, sf_dir))
-        drain(totals, sinks.running_totals_writer(minutes), checkpoint, "update")
+    totals = _minute_totals(spark, sf_dir, _whole_log(spark, sf_dir, purpose), malformed)
+    drain(totals, sinks.running_totals_writer(minutes), shared_dir(spark, purpose), "update")
+    return _out(minutes.read().drop("event_hour"), *VOLUMES)
+
+
+@_query
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure_streaming(spark)
+    out, log = shared_dir(spark, "stream_quarantine"), shared_dir(spark, "stream_quarantine_log")
+    f.feed(spark, sf_dir).write.parquet(log)
+    trades = prepare_trades(_item_stream(spark, sf_dir, log, "market_trades", malformed=True))
+    bad = quarantine_rows(trades, TRADE_REQUIRED, "trade_time_utc").select(*TRADE_COLUMNS, "missing")
+    drain(bad, sinks.archive_writer(f"{out}/bad"), f"{out}/checkpoint")
+    return _out(sinks.read_archive(spark, f"{out}/bad", bad.schema))
+
+
+@_query
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the hours, a failure after a batch was written, then the others."""
+    configure_streaming(spark)
+    minutes = _market_tables(spark, "stream_restart").trade_minutes.create()
+    checkpoint, log = shared_dir(spark, "stream_restart"), shared_dir(spark, "stream_restart_log")
+    write, half = sinks.running_totals_writer(minutes), f.HOURS // 2
+
+    def write_and_fail(df: DataFrame, batch_id: int) -> None:
+        write(df, batch_id)
+        raise _Lost
+
+    f.write_hours(spark, sf_dir, log, range(half))
+    drain(_minute_totals(spark, sf_dir, log), write, checkpoint, "update")
+    f.write_hours(spark, sf_dir, log, range(half, f.HOURS))
+    with contextlib.suppress(StreamingQueryException):
+        drain(_minute_totals(spark, sf_dir, log), write_and_fail, checkpoint, "update")
+    drain(_minute_totals(spark, sf_dir, log), write, checkpoint, "update")
     return _out(minutes.read().drop("event_hour"), *VOLUMES)
 
 
@@ -585,8 +751,8 @@ def _run_minute_stream(spark: SparkSession, sf_dir: str, purpose: str, runs: int
 def stream_latest_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_streaming(spark)
     snapshots = _market_tables(spark, "stream_ticker").ticker_minutes.create()
-    tickers = prepare_tickers(_updates(f.feed_stream(spark, sf_dir), "ticker"))
-    newest = aggregates.stream_latest_tickers(tickers)
+    log = _whole_log(spark, sf_dir, "stream_ticker")
+    newest = aggregates.stream_latest_tickers(prepare_tickers(_item_stream(spark, sf_dir, log, "ticker")))
     drain(newest, sinks.snapshot_writer(snapshots), shared_dir(spark, "stream_ticker"), "update")
     return _out(snapshots.read().drop("event_hour", "kafka_offset"))
 
@@ -595,8 +761,8 @@ def stream_latest_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_latest_candle(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_streaming(spark)
     snapshots = _market_tables(spark, "stream_candle").candle_minutes.create()
-    candles = prepare_candles(_updates(f.feed_stream(spark, sf_dir), "candles"))
-    newest = aggregates.stream_latest_candles(candles)
+    log = _whole_log(spark, sf_dir, "stream_candle")
+    newest = aggregates.stream_latest_candles(prepare_candles(_item_stream(spark, sf_dir, log, "candles")))
     drain(newest, sinks.snapshot_writer(snapshots), shared_dir(spark, "stream_candle"), "update")
     return _out(snapshots.read().drop("event_hour", "kafka_offset"))
 
@@ -608,12 +774,13 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed_df = f.feed(spark, sf_dir)
     f.as_trades(_since(feed_df, BATCH_FROM)).write.parquet(f"{out}/feed/on_time")
     archived = f.as_trades(feed_df).schema
-    late = 0
+    late, counter = 0, LateRows.watch(spark)
     for arrival in ("on_time", "late"):
         if arrival == "late":
             f.as_trades(_until(feed_df, BATCH_FROM)).write.parquet(f"{out}/feed/late")
         trades = aggregates.stream_dedup(read_archive_stream(spark, f"{out}/feed/*", archived))
         query = drain(trades, sinks.archive_writer(f"{out}/trades"), f"{out}/checkpoint")
-        late += late_rows(query)
+        late += counter.of(query)
+    spark.streams.removeListener(counter)
     kept = sinks.read_archive(spark, f"{out}/trades", trades.schema)
     return kept.agg(F.count("*").alias("n_kept")).withColumn("n_late", F.lit(late).cast("bigint"))

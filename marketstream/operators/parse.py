@@ -25,10 +25,11 @@ def parse_envelope(kafka_df: DataFrame) -> DataFrame:
 def first_update_event(envelopes: DataFrame, all_events: bool = False) -> DataFrame:
     """Keep messages whose event is an update; adds the column ``event``.
 
-    Only the first event of a message is read; ``all_events=True`` reads every one.
+    Only the first event of a message is read; ``all_events=True`` reads every one and keeps its
+    place as ``event_pos``.
     """
     if all_events:
-        picked = envelopes.withColumn("event", F.explode("events"))
-    else:
-        picked = envelopes.withColumn("event", F.get("events", F.lit(0)))
+        picked = envelopes.select("*", F.posexplode("events").alias("event_pos", "event"))
+        return picked.where(F.col("event.type") == "update")
+    picked = envelopes.withColumn("event", F.get("events", F.lit(0)))
     return picked.where(F.col("event.type") == "update")

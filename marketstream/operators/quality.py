@@ -12,19 +12,33 @@ TICKER_REQUIRED = ("product_id", "message_ts_utc")
 CANDLE_REQUIRED = ("product_id", "message_ts_utc")
 
 
-def valid_rows(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """Rows that have all required columns."""
-    return df.where(_complete(required))
+#: How far a clock may be ahead. One time far in the future would move a watermark past all rows.
+AHEAD_MINUTES = 60
 
 
-def quarantine_rows(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """The other rows, with ``missing``: the required columns that are null, comma separated."""
-    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
-    return df.where(~_complete(required)).withColumn("missing", missing)
+def valid_rows(df: DataFrame, required: Sequence[str], time: str | None = None) -> DataFrame:
+    """Rows that have all required columns, and if ``time`` is named, no time in the future."""
+    return df.where(_complete(required, time))
 
 
-def _complete(required: Sequence[str]) -> Column:
-    condition = F.lit(True)
+def quarantine_rows(df: DataFrame, required: Sequence[str], time: str | None = None) -> DataFrame:
+    """The other rows, with ``missing``: the required columns that are null, comma separated.
+
+    A time in the future is listed as ``future``.
+    """
+    reasons = [F.when(F.col(c).isNull(), F.lit(c)) for c in required]
+    if time is not None:
+        reasons.append(F.when(~_timely(time), F.lit("future")))
+    return df.where(~_complete(required, time)).withColumn("missing", F.concat_ws(",", *reasons))
+
+
+def _timely(time: str) -> Column:
+    ahead = F.current_timestamp() + F.make_interval(mins=F.lit(AHEAD_MINUTES))
+    return F.coalesce(F.col(time) <= ahead, F.lit(True))
+
+
+def _complete(required: Sequence[str], time: str | None) -> Column:
+    condition = F.lit(True) if time is None else _timely(time)
     for name in required:
         condition = condition & F.col(name).isNotNull()
     return condition

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import hour_label, moment
 
-# Raw trades live 10 minutes, one call removes at most 5000.
+# Fixed value: raw trades live 10 minutes.
 TRIM_AGE_MINUTES = 10
-TRIM_LIMIT = 5000
 
 
 def hour_cutoff(as_of: Column | datetime | str | None, keep_hours: int = 1) -> Column:
@@ -32,11 +31,11 @@ def trim_victims(
     ts_col: str = "trade_time_utc",
     id_col: str = "trade_id",
     age_minutes: int = TRIM_AGE_MINUTES,
-    limit: int | None = TRIM_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Id and time of the oldest rows past the age, at most ``limit``, ties broken by id.
+    """Id and time of the rows past the age; with ``limit`` the oldest so many, ties broken by id.
 
-    A plain top-n would send ``limit`` rows of every input task to one task. Row counts per hour,
+    Without a limit this is one filtered scan. With one, a plain top-n would send ``limit`` rows of every input task to one task. Row counts per hour,
     then per second, first narrow the input to about the rows that can be picked.
     """
     cutoff = moment(as_of) - F.make_interval(mins=F.lit(age_minutes))
@@ -54,7 +53,7 @@ def trim_rows(
     ts_col: str = "trade_time_utc",
     id_col: str = "trade_id",
     age_minutes: int = TRIM_AGE_MINUTES,
-    limit: int | None = TRIM_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
     """The table without the victims."""
     victims = trim_victims(df, as_of, ts_col, id_col, age_minutes, limit)

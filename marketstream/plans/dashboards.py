@@ -1,7 +1,8 @@
 """The ten dashboard questions.
 
 Each takes the minute table, ``product_id`` (one product, or ``None`` for all products in one job)
-and, where time matters, ``as_of``. With a product the result has the reported columns only; for
+and ``as_of``: nothing later than that counts. The latest-value questions take ``since`` as well,
+which bounds how far back the newest value may lie and so how many hours are read. With a product the result has the reported columns only; for
 all products it starts with ``product_id``.
 """
 
@@ -12,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import local_hhmm, moment
+from ..functions import hour_label, local_hhmm, moment
 from ..operators.latest import latest_row
 from ..operators.vwap import cumulative_vwap
 from ..sources.tables import time_slice
@@ -24,28 +25,40 @@ CANDLE_COLUMNS = ("open", "high", "low", "close", "avg_price", "range")
 Moment = Column | datetime | str | None
 
 
-def current_price(tickers: DataFrame, product_id: str | None = None) -> DataFrame:
-    return latest_row(tickers, "ticker_ts_utc", ["price"], product_id)
+def current_price(
+    tickers: DataFrame, product_id: str | None = None, as_of: Moment = None, since: Moment = None
+) -> DataFrame:
+    return _latest(tickers, "ticker_ts_utc", ["price"], product_id, as_of, since)
 
 
-def high_24h(tickers: DataFrame, product_id: str | None = None) -> DataFrame:
-    return latest_row(tickers, "ticker_ts_utc", ["high_24h"], product_id)
+def high_24h(
+    tickers: DataFrame, product_id: str | None = None, as_of: Moment = None, since: Moment = None
+) -> DataFrame:
+    return _latest(tickers, "ticker_ts_utc", ["high_24h"], product_id, as_of, since)
 
 
-def low_24h(tickers: DataFrame, product_id: str | None = None) -> DataFrame:
-    return latest_row(tickers, "ticker_ts_utc", ["low_24h"], product_id)
+def low_24h(
+    tickers: DataFrame, product_id: str | None = None, as_of: Moment = None, since: Moment = None
+) -> DataFrame:
+    return _latest(tickers, "ticker_ts_utc", ["low_24h"], product_id, as_of, since)
 
 
-def price_change_24h(tickers: DataFrame, product_id: str | None = None) -> DataFrame:
-    return latest_row(tickers, "ticker_ts_utc", ["price_pct_chg_24h"], product_id)
+def price_change_24h(
+    tickers: DataFrame, product_id: str | None = None, as_of: Moment = None, since: Moment = None
+) -> DataFrame:
+    return _latest(tickers, "ticker_ts_utc", ["price_pct_chg_24h"], product_id, as_of, since)
 
 
-def volume_24h(tickers: DataFrame, product_id: str | None = None) -> DataFrame:
-    return latest_row(tickers, "ticker_ts_utc", ["volume_24h"], product_id)
+def volume_24h(
+    tickers: DataFrame, product_id: str | None = None, as_of: Moment = None, since: Moment = None
+) -> DataFrame:
+    return _latest(tickers, "ticker_ts_utc", ["volume_24h"], product_id, as_of, since)
 
 
-def latest_candle(candles: DataFrame, product_id: str | None = None) -> DataFrame:
-    return latest_row(candles, "candle_ts_utc", list(CANDLE_COLUMNS), product_id)
+def latest_candle(
+    candles: DataFrame, product_id: str | None = None, as_of: Moment = None, since: Moment = None
+) -> DataFrame:
+    return _latest(candles, "candle_ts_utc", list(CANDLE_COLUMNS), product_id, as_of, since)
 
 
 def buy_volume_30m(
@@ -90,9 +103,23 @@ def rolling_vwap_and_price(
     return joined.orderBy("product_id", "ts_utc").select("product_id", "ts_utc", label, *charted)
 
 
+def _until(df: DataFrame, ts_col: str, as_of: Moment) -> DataFrame:
+    """Rows up to ``as_of``, itself included; also prunes later hours when the table has them."""
+    high = moment(as_of)
+    rows = df.where(F.col(ts_col) <= high)
+    return rows.where(F.col("event_hour") <= hour_label(high)) if "event_hour" in df.columns else rows
+
+
+def _latest(
+    df: DataFrame, ts_col: str, columns: list[str], product_id: str | None, as_of: Moment, since: Moment
+) -> DataFrame:
+    rows = df if as_of is None else _until(df, ts_col, as_of)
+    return latest_row(rows if since is None else time_slice(rows, ts_col, since), ts_col, columns, product_id)
+
+
 def _recent(df: DataFrame, ts_col: str, product_id: str | None, as_of: Moment) -> DataFrame:
     start = moment(as_of) - F.make_interval(mins=F.lit(WINDOW_MINUTES))
-    recent = time_slice(df, ts_col, start)
+    recent = _until(time_slice(df, ts_col, start), ts_col, as_of)
     return recent if product_id is None else recent.where(F.col("product_id") == product_id)
 
 

@@ -49,7 +49,7 @@ CANDLE_MINUTES = (
     "close DOUBLE, range DOUBLE, avg_price DOUBLE, kafka_offset BIGINT"
 )
 PRODUCTS = "name STRING, product_id STRING, enabled BOOLEAN"
-LEDGER = "source STRING, batch_id BIGINT, state STRING, at_utc TIMESTAMP"
+LEDGER = "batch_id BIGINT, at_utc TIMESTAMP, source STRING, batch_group BIGINT"
 QUARANTINE = (
     "trade_id STRING, product_id STRING, side STRING, size DOUBLE, trade_value DOUBLE, "
     "trade_time_utc TIMESTAMP, missing STRING, source STRING, batch_id BIGINT, "

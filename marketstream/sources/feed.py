@@ -39,7 +39,7 @@ class Tls:
 class Feed:
     """A Kafka feed.
 
-    The cap per trigger is the admission control of the stream. ``min_partitions`` splits busy
+    The cap per trigger, if one is set, is the admission control of the stream. ``min_partitions`` splits busy
     topic partitions over more tasks.
     """
 
@@ -47,7 +47,7 @@ class Feed:
     topics: Sequence[str]
     tls: Tls | None = None
     starting_offsets: str = "latest"
-    max_offsets_per_trigger: int | None = 2000
+    max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
     fail_on_data_loss: bool = False
     extra: Mapping[str, str] = field(default_factory=dict)

@@ -43,7 +43,8 @@ class HourlyTable:
     """One catalog table with its time column and unique key.
 
     ``overwrite`` is stored as a table option: ``dynamic`` replaces only the hours that are
-    written, ``static`` replaces the whole content.
+    written, ``static`` replaces the whole content. An hour is written by at most ``buckets`` tasks,
+    dealt by key: as many files, however many rows it has.
     """
 
     spark: SparkSession
@@ -52,6 +53,7 @@ class HourlyTable:
     ts_col: str
     keys: Sequence[str] = ()
     overwrite: str = "dynamic"
+    buckets: int = 4
 
     def create(self) -> HourlyTable:
         self.spark.sql(
@@ -109,15 +111,14 @@ class HourlyTable:
         return with_hour(df, self.ts_col).select(*self.read().columns)
 
     def _by_hour(self, df: DataFrame) -> DataFrame:
-        """Rows laid out so that an hour is written as few files.
+        """Rows laid out so that an hour is few files: one layout for batches and for streams.
 
-        Rebalancing also splits an oversized hour. It needs adaptive execution, which Spark turns
-        off for the batches of stateful streams; those hold minute rows, so an hour fits a task.
+        A row without time has no hour, could never be dropped again, and is refused.
         """
         rows = self._shaped(df)
-        if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-            return rows.hint("rebalance", F.col("event_hour"))
-        return rows.repartition("event_hour")
+        hour = F.coalesce("event_hour", F.raise_error(F.lit(f"{self.name}: row without time")))
+        bucket = F.pmod(F.hash(*(self.keys or rows.columns)), F.lit(self.buckets))
+        return rows.withColumn("event_hour", hour).repartition("event_hour", bucket)
 
 
 def drop_old_partitions(

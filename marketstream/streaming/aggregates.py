@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import normalize_numeric
 from ..operators.latest import newest_values
+from ..operators.quality import TICKER_REQUIRED, TRADE_REQUIRED, valid_rows
 from ..operators.trades import trade_measures
 from ..schemas import CANDLE_SCALES, TICKER_SCALES
 
@@ -15,9 +16,13 @@ DEDUP_HORIZON = "10 minutes"
 
 
 def stream_dedup(trades: DataFrame, horizon: str = DEDUP_HORIZON) -> DataFrame:
-    """Each trade_id once within the horizon; later rows than that count as late and are dropped."""
+    """Each trade_id once within the horizon; later rows than that count as late and are dropped.
+
+    Incomplete rows, and times in the future, are left out before they can reach the watermark;
+    ``quarantine_rows`` gives them.
+    """
     return (
-        trades.where(F.col("trade_id").isNotNull())
+        valid_rows(trades, TRADE_REQUIRED, "trade_time_utc")
         .withWatermark("trade_time_utc", horizon)
         .dropDuplicatesWithinWatermark(["trade_id"])
     )
@@ -50,7 +55,7 @@ def stream_latest_candles(candles: DataFrame, delay: str = DEDUP_HORIZON) -> Dat
 
 def _stream_latest(df: DataFrame, out_ts: str, scales: dict[str, int], delay: str) -> DataFrame:
     minute = F.window("message_ts_utc", "1 minute").alias("minute")
-    rows = df.where(F.col("product_id").isNotNull() & F.col("last_in_message"))
+    rows = valid_rows(df, TICKER_REQUIRED, "message_ts_utc").where("last_in_message")
     newest = (
         rows.withWatermark("message_ts_utc", delay)
         .groupBy("product_id", minute)

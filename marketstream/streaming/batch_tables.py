@@ -1,14 +1,19 @@
 """Hourly tables that take micro-batches exactly once.
 
-A batch is applied in three steps. (1) The new content of the touched hours is computed and written
-to a side table. (2) The hours of the target are replaced from it. (3) The batch is entered in the
-ledger. The ledger also records the end of step 1. A retry of an applied batch does nothing; a retry
-after step 1 repeats the replacement, which holds absolute values; a retry before that starts over
-on an unchanged target. Each table has its own side table and ledger, and one writer at a time.
+A batch is applied in three steps. (1) The new content of the touched hours is written to a side
+table of that batch and marked complete. (2) The hours of the target are replaced from it, and hours
+that it leaves empty are dropped. (3) The batch is entered in the ledger and the side table goes.
+
+A batch is named by its source and its id; the source of a stream holds the id of the streaming
+query, so a new checkpoint starts a new numbering. A failure before (1) ends leaves the target as it
+was. After it, the next batch of any source completes the staged one before it reads the target:
+staged content is absolute and must not be put over later changes. Each table has one writer at a
+time.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
@@ -20,7 +25,8 @@ from ..operators.merge import upsert_add, upsert_replace
 from ..schemas import LEDGER
 from ..sources.tables import HourlyTable, with_hour
 
-STAGED, APPLIED = "staged", "applied"
+#: Ledger entries of one source in one directory; a lookup reads at most so many.
+LEDGER_GROUP = 1000
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -34,72 +40,150 @@ def hours_in(df: DataFrame) -> set[str]:
     return {row[0] for row in df.select("event_hour").distinct().collect()}
 
 
+@dataclass(frozen=True)
+class Staged:
+    """A complete side table: the batch it belongs to and the hours that the batch touches."""
+
+    side: HourlyTable
+    source: str
+    batch_id: int
+    hours: tuple[str, ...]
+
+
 @dataclass(frozen=True)
 class BatchTable:
-    """An hourly table with its side table and its ledger."""
+    """An hourly table with its side tables and its ledger."""
 
     table: HourlyTable
 
     def create(self) -> BatchTable:
         self.table.create()
-        self.side.create()
-        self.ledger.create()
+        self.table.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.ledger_name} ({LEDGER}) USING parquet "
+            "PARTITIONED BY (source, batch_group)"
+        )
         return self
 
     @property
-    def side(self) -> HourlyTable:
-        return replace(self.table, name=f"{self.table.name}_staged", overwrite="static")
-
-    @property
-    def ledger(self) -> HourlyTable:
-        """Hourly by recording time, so old entries can be dropped like other partitions."""
-        return HourlyTable(self.table.spark, f"{self.table.name}_ledger", LEDGER, "at_utc")
+    def ledger_name(self) -> str:
+        return f"{self.table.name}_ledger"
 
     def read(self) -> DataFrame:
         return self.table.read()
 
-    def states(self, source: str, batch_id: int) -> set[str]:
-        """What the ledger says about a batch: nothing, staged, or staged and applied."""
-        entries = self.ledger.read().where(
-            (F.col("source") == source) & (F.col("batch_id") == batch_id)
-        )
-        return {row["state"] for row in entries.select("state").collect()}
+    # Ledger
 
-    def stage(self, rows: DataFrame, merge: Merge, source: str, batch_id: int) -> bool:
-        """Write ``merge(stored rows of the touched hours, rows)`` to the side table.
+    def is_applied(self, source: str, batch_id: int) -> bool:
+        """Reads the entries of the source and the group of the id only."""
+        entries = self.table.spark.table(self.ledger_name).where(
+            (F.col("source") == source)
+            & (F.col("batch_group") == batch_id // LEDGER_GROUP)
+            & (F.col("batch_id") == batch_id)
+        )
+        return not entries.isEmpty()
 
-        False when there are no rows: the batch then counts as applied.
-        """
+    def record(self, source: str, batch_id: int) -> None:
+        entry = self.table.spark.range(0, 1, 1, numPartitions=1).select(
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
+            F.current_timestamp().alias("at_utc"),
+            F.lit(source).alias("source"),
+            F.lit(batch_id // LEDGER_GROUP).cast("bigint").alias("batch_group"),
+        )
+        entry.write.insertInto(self.ledger_name)
+
+    def prune_ledger(self, keep_groups: int = 1) -> None:
+        """Drop all but the newest groups of each source: ids only rise, old ones are not retried."""
+        shown = self.table.spark.sql(f"SHOW PARTITIONS {self.ledger_name}")
+        part = F.split(F.col("partition"), "/batch_group=")
+        newest = shown.select(F.get(part, F.lit(0)).alias("source"), F.get(part, F.lit(1)).cast("bigint").alias("g"))
+        for source, last in newest.groupBy("source").agg(F.max("g")).collect():
+            old = newest.where((F.col("source") == source) & (F.col("g") <= last - keep_groups)).collect()
+            for row in old:
+                name = source.removeprefix("source=")
+                self.table.spark.sql(
+                    f"ALTER TABLE {self.ledger_name} DROP IF EXISTS "
+                    f"PARTITION (source='{name}', batch_group={row['g']})"
+                )
+
+    # Side tables
+
+    def side(self, source: str, batch_id: int, purpose: str = "staged") -> HourlyTable:
+        """The side table of one batch; not yet created."""
+        digest = hashlib.md5(f"{batch_id}:{source}".encode()).hexdigest()[:16]
+        return replace(self.table, name=f"{self.table.name}_{purpose}_{digest}", overwrite="static")
+
+    def pending(self, purpose: str = "staged") -> list[Staged]:
+        """Complete side tables; those that a failure left incomplete are dropped."""
+        database, name = self.table.name.rsplit(".", 1)
+        found = []
+        for row in self.table.spark.sql(f"SHOW TABLES IN {database} LIKE '{name}_{purpose}_*'").collect():
+            side = replace(self.table, name=f"{database}.{row['tableName']}", overwrite="static")
+            stored = {r["key"]: r["value"] for r in self.table.spark.sql(f"SHOW TBLPROPERTIES {side.name}").collect()}
+            if stored.get("complete") != "true":
+                drop(side)
+                continue
+            hours = tuple(h for h in stored["hours"].split(",") if h)
+            found.append(Staged(side, stored["source"], int(stored["batch"]), hours))
+        return found
+
+    def stage_rows(
+        self, rows: DataFrame, hours: set[str], source: str, batch_id: int, purpose: str = "staged"
+    ) -> Staged:
+        """Write rows to the side table of a batch and mark it complete."""
+        side = self.side(source, batch_id, purpose)
+        drop(side)
+        side.create().replace(rows)
+        stated = {"source": source, "batch": str(batch_id), "hours": ",".join(sorted(hours)), "complete": "true"}
+        quoted = {key: value.replace("'", "\\'") for key, value in stated.items()}
+        listed = ", ".join(f"'{key}'='{value}'" for key, value in quoted.items())
+        self.table.spark.sql(f"ALTER TABLE {side.name} SET TBLPROPERTIES ({listed})")
+        return Staged(side, source, batch_id, tuple(sorted(hours)))
+
+    def apply(self, staged: Staged) -> None:
+        """Replace the staged hours, drop those left empty, enter the batch. May be repeated."""
+        if not self.is_applied(staged.source, staged.batch_id):
+            self.table.replace(staged.side.read())
+            self.table.drop_hours(sorted(set(staged.hours) - set(staged.side.hours())))
+            self.record(staged.source, staged.batch_id)
+        drop(staged.side)
+
+    def recover(self) -> None:
+        """Complete what a failed batch of any source has staged."""
+        for staged in self.pending():
+            self.apply(staged)
+
+    # Batches
+
+    def stage(self, rows: DataFrame, merge: Merge, source: str, batch_id: int) -> Staged | None:
+        """Stage ``merge(stored rows of the touched hours, rows)``; None when there are no rows."""
         batch = kept(with_hour(rows, self.table.ts_col))
         try:
-            return self._stage(batch, hours_in(batch), merge, source, batch_id)
+            hours = hours_in(batch)
+            if not hours:
+                return None
+            columns = [c for c in self.read().columns if c != "event_hour"]
+            stored = self.table.in_hours(hours).select(*columns)
+            return self.stage_rows(merge(stored, batch.select(*columns)), hours, source, batch_id)
         finally:
             batch.unpersist()
 
-    def stage_hours(self, content: DataFrame, source: str, batch_id: int) -> None:
-        """Write the full new content of some hours to the side table."""
-        self.side.replace(content)
-        self._record(source, batch_id, STAGED)
-
-    def apply(self, source: str, batch_id: int) -> None:
-        """Replace the staged hours of the target."""
-        self.table.replace(self.side.read())
-        self._record(source, batch_id, APPLIED)
-
     def upsert(self, rows: DataFrame, merge: Merge, source: str, batch_id: int) -> None:
         """Apply a batch unless the ledger has it.
 
         The rows are computed even then: a stateful stream commits its state only when its whole
         output was consumed.
         """
-        batch = kept(with_hour(rows, self.table.ts_col))
+        batch = kept(rows)
         try:
-            hours = hours_in(batch)
-            states = self.states(source, batch_id)
-            if APPLIED in states:
+            batch.count()
+            self.recover()
+            if self.is_applied(source, batch_id):
                 return
-            if STAGED in states or self._stage(batch, hours, merge, source, batch_id):
-                self.apply(source, batch_id)
+            staged = self.stage(batch, merge, source, batch_id)
+            if staged is None:
+                self.record(source, batch_id)
+            else:
+                self.apply(staged)
         finally:
             batch.unpersist()
 
@@ -119,22 +203,6 @@ class BatchTable:
     def added(self, measures: Sequence[str]) -> Merge:
         return lambda stored, rows: upsert_add(stored, rows, self.table.keys, measures)
 
-    def _stage(
-        self, batch: DataFrame, hours: set[str], merge: Merge, source: str, batch_id: int
-    ) -> bool:
-        if not hours:
-            self._record(source, batch_id, APPLIED)
-            return False
-        columns = [c for c in self.read().columns if c != "event_hour"]
-        stored = self.table.in_hours(hours).select(*columns)
-        self.stage_hours(merge(stored, batch.select(*columns)), source, batch_id)
-        return True
-
-    def _record(self, source: str, batch_id: int, state: str) -> None:
-        entry = self.table.spark.range(0, 1, 1, numPartitions=1).select(
-            F.lit(source).alias("source"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-            F.lit(state).alias("state"),
-            F.current_timestamp().alias("at_utc"),
-        )
-        self.ledger.append(entry, by_hour=False)
+
+def drop(table: HourlyTable) -> None:
+    table.spark.sql(f"DROP TABLE IF EXISTS {table.name}")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -64,10 +66,46 @@ def drain(
     return query
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that stateful operators dropped as too late, over the retained progress reports."""
-    return sum(
-        operator.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for operator in progress.stateOperators
-    )
+class LateRows(StreamingQueryListener):
+    """Adds up the rows that stateful operators drop as too late, over every report of a session.
+
+    A query keeps only its last reports, a listener sees all of them::
+
+        late = LateRows.watch(spark)
+        query = start(...)
+        late.of(query)
+    """
+
+    def __init__(self) -> None:
+        self._rows: dict[str, int] = {}
+        self._ended: dict[str, threading.Event] = {}
+
+    @classmethod
+    def watch(cls, spark: SparkSession) -> LateRows:
+        listener = cls()
+        spark.streams.addListener(listener)
+        return listener
+
+    def of(self, query: StreamingQuery, seconds: float = 60) -> int:
+        """So far; of an ended query, after its last report has come in."""
+        run = str(query.runId)
+        if not query.isActive and not self._end(run).wait(seconds):
+            raise TimeoutError("no report of the query's end")
+        return self._rows.get(run, 0)
+
+    def _end(self, run: str) -> threading.Event:
+        return self._ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        run = str(event.progress.runId)
+        dropped = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+        self._rows[run] = self._rows.get(run, 0) + dropped
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self._end(str(event.runId)).set()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +21,7 @@ from ..operators.quality import (
     quarantine_rows,
     valid_rows,
 )
-from ..operators.retention import TRIM_AGE_MINUTES, TRIM_LIMIT, trim_victims
+from ..operators.retention import TRIM_AGE_MINUTES, trim_victims
 from ..operators.trades import dedup_trades, minute_trade_agg
 from ..schemas import (
     CANDLE_MINUTES,
@@ -33,10 +33,27 @@ from ..schemas import (
     TableNames,
 )
 from ..sources.tables import HourlyTable, with_hour
-from .batch_tables import APPLIED, STAGED, BatchTable, hours_in, kept
+from .batch_tables import BatchTable, drop, hours_in, kept
 
 BatchWriter = Callable[[DataFrame, int], None]
 
+ARRIVED = "arrived"
+#: A copy of a trade carries the time of the trade; this allows for a corrected one.
+DEDUP_MARGIN = timedelta(minutes=TRIM_AGE_MINUTES)
+
+
+def source_of(batch: DataFrame, source: str | None) -> str:
+    """Name of a batch's source: the id of its streaming query, after ``source`` if that is given.
+
+    The id lives in the checkpoint, so a restarted query keeps it and a new checkpoint has another.
+    Outside of a stream the source has to be given.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    named = [part for part in (source, query) if part]
+    if not named:
+        raise ValueError("a batch outside of a stream needs a source")
+    return "@".join(named)
+
 
 @dataclass(frozen=True)
 class MarketTables:
@@ -75,52 +92,73 @@ class MarketTables:
         return [self.trade_minutes.table, self.ticker_minutes.table, self.candle_minutes.table]
 
     def logs(self) -> list[HourlyTable]:
-        """Ledgers and quarantine: also hourly, usually kept longer than the final tables."""
-        batch_tables = (
-            self.raw_trades,
-            self.trade_minutes,
-            self.ticker_minutes,
-            self.candle_minutes,
-        )
-        return [*(table.ledger for table in batch_tables), self.quarantine]
+        """Also hourly, usually kept longer than the final tables."""
+        return [self.quarantine]
+
+    def prune_ledgers(self) -> None:
+        for table in (self.raw_trades, self.trade_minutes, self.ticker_minutes, self.candle_minutes):
+            table.prune_ledger()
 
 
 def write_trades(trades: DataFrame, tables: MarketTables, source: str, batch_id: int) -> None:
     """New trades to the raw table, their measures added to the minute table, bad rows aside.
 
-    The totals are staged before the raw rows are appended: after a failure in between, the retry
-    finds them staged and only completes the append, which skips ids that are already stored.
+    The new rows and the totals are staged before anything is stored. Whoever writes next after a
+    failure first completes both, so a backfill in between neither repeats nor loses them. Only the
+    raw hours of the batch, give or take the dedup horizon, are read.
     """
-    minutes, raw = tables.trade_minutes, tables.raw_trades.table
-    states = minutes.states(source, batch_id)
-    if APPLIED in states:
+    minutes, raw = tables.trade_minutes, tables.raw_trades
+    recover_trades(tables)
+    if minutes.is_applied(source, batch_id):
         return
-    incoming = kept(dedup_trades(valid_rows(trades, TRADE_REQUIRED)))
-    fresh = kept(insert_new(raw.read(), incoming, raw.keys))
+    incoming = kept(dedup_trades(valid_rows(trades, TRADE_REQUIRED, "trade_time_utc")))
     try:
-        if STAGED not in states:
-            _set_aside(trades, tables.quarantine, source, batch_id)
-            totals = minute_trade_agg(fresh)
-            if not minutes.stage(totals, minutes.added(TRADE_MEASURES), source, batch_id):
-                return
-        raw.append(fresh.withColumn("inserted_at_utc", F.current_timestamp()))
+        first, last = incoming.agg(F.min("trade_time_utc"), F.max("trade_time_utc")).first()
+        _set_aside(quarantine_rows(trades, TRADE_REQUIRED, "trade_time_utc"), tables.quarantine, source, batch_id)
+        if first is None:
+            minutes.record(source, batch_id)
+            return
+        fresh = insert_new(raw.table.slice(*_around(first, last)), incoming, raw.table.keys)
+        stamped = fresh.withColumn("inserted_at_utc", F.current_timestamp())
+        arrived = raw.stage_rows(stamped, set(), source, batch_id, ARRIVED)
     finally:
-        fresh.unpersist()
         incoming.unpersist()
-    minutes.apply(source, batch_id)
+    totals = minute_trade_agg(arrived.side.read())
+    if minutes.stage(totals, minutes.added(TRADE_MEASURES), source, batch_id) is None:
+        minutes.record(source, batch_id)
+    recover_trades(tables)
+
+
+def recover_trades(tables: MarketTables) -> None:
+    """Store the rows and totals that are staged; drop rows whose totals never were."""
+    minutes, raw = tables.trade_minutes, tables.raw_trades
+    arrived = {(a.source, a.batch_id): a for a in raw.pending(ARRIVED)}
+    for staged in minutes.pending():
+        rows = arrived.get((staged.source, staged.batch_id))
+        if rows is not None and not minutes.is_applied(staged.source, staged.batch_id):
+            new = rows.side.read().drop("event_hour")
+            first, last = new.agg(F.min("trade_time_utc"), F.max("trade_time_utc")).first()
+            raw.table.append(insert_new(raw.table.slice(*_around(first, last)), new, raw.table.keys))
+        minutes.apply(staged)
+    for rows in arrived.values():
+        drop(rows.side)
+
+
+def _around(first: datetime, last: datetime) -> tuple[datetime, datetime]:
+    return first - DEDUP_MARGIN, last + DEDUP_MARGIN
 
 
 def write_tickers(tickers: DataFrame, tables: MarketTables, source: str, batch_id: int) -> None:
-    rows = latest_ticker_minutes(valid_rows(tickers, TICKER_REQUIRED))
+    rows = latest_ticker_minutes(valid_rows(tickers, TICKER_REQUIRED, "message_ts_utc"))
     tables.ticker_minutes.replace_keys(rows, "kafka_offset", source, batch_id)
 
 
 def write_candles(candles: DataFrame, tables: MarketTables, source: str, batch_id: int) -> None:
-    rows = latest_candle_minutes(valid_rows(candles, CANDLE_REQUIRED))
+    rows = latest_candle_minutes(valid_rows(candles, CANDLE_REQUIRED, "message_ts_utc"))
     tables.candle_minutes.replace_keys(rows, "kafka_offset", source, batch_id)
 
 
-def batch_writer(tables: MarketTables, source: str = "live") -> BatchWriter:
+def batch_writer(tables: MarketTables, source: str | None = None) -> BatchWriter:
     """``foreachBatch`` function: one parsed batch to the three outputs, parsed once.
 
     The outputs are written side by side and each is retry-safe by itself. Errors propagate, so
@@ -133,11 +171,12 @@ def batch_writer(tables: MarketTables, source: str = "live") -> BatchWriter:
     )
 
     def process_batch(update_df: DataFrame, batch_id: int) -> None:
+        name = source_of(update_df, source)
         batch = kept(update_df.select("offset", "kafka_key", "message_ts_utc", "event"))
 
         @inheritable_thread_target(batch.sparkSession)
         def write(prepare, store) -> None:
-            store(prepare(batch), tables, source, batch_id)
+            store(prepare(batch), tables, name, batch_id)
 
         try:
             with ThreadPoolExecutor(len(outputs)) as pool:
@@ -150,17 +189,21 @@ def batch_writer(tables: MarketTables, source: str = "live") -> BatchWriter:
     return process_batch
 
 
-def running_totals_writer(minutes: BatchTable, source: str = "live") -> BatchWriter:
+def running_totals_writer(minutes: BatchTable, source: str | None = None) -> BatchWriter:
     """``foreachBatch`` function for ``stream_minute_agg``.
 
     The totals of a minute only grow, so the row with the most trades is the newest.
     """
-    return lambda df, batch_id: minutes.replace_keys(df, "trade_count", source, batch_id)
+    return lambda df, batch_id: minutes.replace_keys(
+        df, "trade_count", source_of(df, source), batch_id
+    )
 
 
-def snapshot_writer(snapshots: BatchTable, source: str = "live") -> BatchWriter:
+def snapshot_writer(snapshots: BatchTable, source: str | None = None) -> BatchWriter:
     """``foreachBatch`` function for the latest-per-minute streams."""
-    return lambda df, batch_id: snapshots.replace_keys(df, "kafka_offset", source, batch_id)
+    return lambda df, batch_id: snapshots.replace_keys(
+        df, "kafka_offset", source_of(df, source), batch_id
+    )
 
 
 def archive_writer(path: str) -> BatchWriter:
@@ -177,37 +220,35 @@ def trim_raw_trades(
     run_id: int,
     as_of: Column | datetime | str | None = None,
     age_minutes: int = TRIM_AGE_MINUTES,
-    limit: int | None = TRIM_LIMIT,
+    limit: int | None = None,
 ) -> None:
-    """Delete the oldest expired raw trades by rewriting only the hours that hold them.
+    """Delete expired raw trades, the oldest ``limit`` if one is given.
 
-    Hours left without rows are dropped. A run that failed is repeated with the same ``run_id``.
+    Only the hours that hold them are rewritten; hours left without rows are dropped. A run that
+    failed is completed by the next one, or repeated with the same ``run_id``.
     """
-    states = raw.states("trim", run_id)
-    if APPLIED in states:
+    raw.recover()
+    if raw.is_applied("trim", run_id):
         return
-    emptied: set[str] = set()
-    if STAGED not in states:
-        victims = trim_victims(raw.read(), as_of, age_minutes=age_minutes, limit=limit)
-        victims = kept(with_hour(victims, raw.table.ts_col))
-        try:
-            touched = hours_in(victims)
-            survivors = raw.table.in_hours(touched).join(victims, "trade_id", "left_anti")
-            raw.stage_hours(survivors, "trim", run_id)
-        finally:
-            victims.unpersist()
-        emptied = touched - hours_in(raw.side.read())
-    raw.apply("trim", run_id)
-    raw.table.drop_hours(sorted(emptied))
+    victims = trim_victims(raw.read(), as_of, age_minutes=age_minutes, limit=limit)
+    victims = kept(with_hour(victims, raw.table.ts_col))
+    try:
+        touched = hours_in(victims)
+        survivors = raw.table.in_hours(touched).join(victims, "trade_id", "left_anti")
+        staged = raw.stage_rows(survivors, touched, "trim", run_id)
+    finally:
+        victims.unpersist()
+    raw.apply(staged)
 
 
-def _set_aside(trades: DataFrame, quarantine: HourlyTable, source: str, batch_id: int) -> None:
-    """Store the incomplete rows once per batch."""
+def _set_aside(bad: DataFrame, quarantine: HourlyTable, source: str, batch_id: int) -> None:
+    """Store the incomplete rows once per batch; the look for earlier ones reads two days at most."""
     of_batch = (F.col("source") == source) & (F.col("batch_id") == batch_id)
-    if quarantine.read().where(of_batch).isEmpty():
+    recent = quarantine.slice(F.current_timestamp() - F.make_interval(days=F.lit(2)))
+    if recent.where(of_batch).isEmpty():
         stamps = {
             "source": F.lit(source),
             "batch_id": F.lit(batch_id).cast("bigint"),
             "quarantined_at_utc": F.current_timestamp(),
         }
-        quarantine.append(quarantine_rows(trades, TRADE_REQUIRED).withColumns(stamps))
+        quarantine.append(bad.withColumns(stamps))

@@ -94,6 +94,24 @@ def test_empty_window_gives_null_for_one_and_no_row_for_all(minutes):
     assert d.buy_volume_30m(minutes, as_of=later).collect() == []
 
 
+def test_nothing_after_as_of_counts(spark):
+    rows = [("A", NOW + timedelta(minutes=m), 1, 1.0, 1.0, 0.0, 2.0) for m in range(-40, 60)]
+    minutes = spark.createDataFrame(rows, MINUTES)
+    assert d.trade_count_30m(minutes, "A", NOW).first()[0] == 31
+    assert d.trade_count_30m(minutes, as_of=NOW).first()["trade_count_30m"] == 31
+
+
+def test_latest_value_in_the_middle_of_the_data(tickers):
+    def price(**asked):
+        return [r["price"] for r in d.current_price(tickers, "A", **asked).collect()]
+
+    assert price(as_of=ago(20)) == [2.0]
+    assert price(as_of=ago(30)) == [2.0]
+    assert price(as_of=ago(35)) == [1.0]
+    assert price(as_of=ago(35), since=ago(36)) == []
+    assert sorted(map(tuple, d.current_price(tickers, as_of=ago(20)).collect())) == [("A", 2.0)]
+
+
 def test_chart_for_one_product(tickers, minutes):
     rows = d.rolling_vwap_and_price(tickers, minutes, "A", NOW).collect()
     assert [tuple(row) for row in rows] == [("17:00", 2.0, 100.0), ("17:21", 3.0, None)]

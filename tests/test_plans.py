@@ -5,7 +5,7 @@ import re
 import pytest
 from conftest import utc
 
-import __spark_entry__
+from marketstream import harness
 from marketstream.harness import feed as f
 from marketstream.operators import (
     cumulative_vwap,
@@ -26,7 +26,7 @@ from marketstream.sources.tables import HourlyTable
 # These run a stream or write tables when called; the others only build a plan.
 ACTING = {
     name
-    for name in __spark_entry__.queries()
+    for name in harness.queries()
     if name.startswith("stream_")
     or name
     in (
@@ -46,9 +46,9 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(__spark_entry__.queries()) - ACTING))
+@pytest.mark.parametrize("name", sorted(set(harness.queries()) - ACTING))
 def test_no_python_no_cross_join_no_single_task(spark, sf_dir, name):
-    plan = plan_of(__spark_entry__.queries()[name](spark, sf_dir))
+    plan = plan_of(harness.queries()[name](spark, sf_dir))
     for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
     main = re.split(r"\bSubquery\b", plan)[0] if name not in ONE_TASK else ""

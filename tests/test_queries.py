@@ -4,9 +4,9 @@ import oracle_check
 import pytest
 
 import __spark_entry__
+from marketstream import harness
 
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
+QUERIES, ORACLES = harness.queries(), harness.oracle_sql()
 
 
 @pytest.fixture(scope="module")

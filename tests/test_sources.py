@@ -16,7 +16,6 @@ def test_stream_options():
         "kafka.bootstrap.servers": "broker:9092",
         "subscribe": "a.ticker,a.candles",
         "startingOffsets": "latest",
-        "maxOffsetsPerTrigger": "2000",
         "failOnDataLoss": "false",
         "kafka.security.protocol": "SSL",
         "kafka.ssl.truststore.location": "trust.jks",

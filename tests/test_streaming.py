@@ -13,7 +13,7 @@ from marketstream.schemas import TRADE_MEASURES, TableNames
 from marketstream.sources.feed import read_archive_stream
 from marketstream.sources.shared import shared_database, shared_dir
 from marketstream.streaming import aggregates, sinks
-from marketstream.streaming.runner import drain, late_rows
+from marketstream.streaming.runner import LateRows, drain
 
 START = utc("2024-01-01T00:00:00")
 TRADES = (
@@ -97,12 +97,14 @@ def test_stream_equals_batch_over_files_copies_failures_and_restarts(spark, minu
 def test_late_trades_are_dropped_and_counted(spark, minutes):
     source, checkpoint = shared_dir(spark, "source"), shared_dir(spark, "checkpoint")
     file_of_trades(spark, source, some_trades(120, 30, seed=1))
+    late = LateRows.watch(spark)
     query = run_minutes(spark, source, minutes, checkpoint)
-    assert late_rows(query) == 0
+    assert late.of(query) == 0
     before = totals(minutes.read())
     file_of_trades(spark, source, some_trades(0, 20, seed=2))
     query = run_minutes(spark, source, minutes, checkpoint)
-    assert late_rows(query) == 24
+    assert late.of(query) == 24
+    spark.streams.removeListener(late)
     assert totals(minutes.read()) == before
 
 
@@ -111,14 +113,16 @@ def test_longer_horizon_takes_late_trades(spark, minutes):
     file_of_trades(spark, source, some_trades(60, 10, seed=1))
     file_of_trades(spark, source, some_trades(0, 10, seed=2))
     stream = read_archive_stream(spark, source, TRADES, max_files_per_trigger=1)
-    late = drain(
+    late = LateRows.watch(spark)
+    query = drain(
         aggregates.stream_minute_agg(stream, horizon="3 hours"),
         sinks.running_totals_writer(minutes),
         checkpoint,
         "update",
     )
     everything = spark.read.schema(TRADES).parquet(source)
-    assert late_rows(late) == 0
+    assert late.of(query) == 0
+    spark.streams.removeListener(late)
     assert totals(minutes.read()) == totals(minute_trade_agg(dedup_trades(everything)))
 
 
@@ -144,6 +148,17 @@ def test_latest_ticker_stream_equals_batch_in_any_file_order(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
 
 
+def test_malformed_and_future_trades_neither_count_nor_move_the_watermark(spark, minutes):
+    source, checkpoint = shared_dir(spark, "source"), shared_dir(spark, "checkpoint")
+    good = some_trades(0, 20, seed=1)
+    bad = [("bad", "A", "BUY", None, None, START), (None, "A", "BUY", 1.0, 1.0, START)]
+    bad.append(("far", "A", "BUY", 1.0, 1.0, utc("2199-01-01T00:00:00")))
+    file_of_trades(spark, source, good[:10] + bad)
+    file_of_trades(spark, source, good[10:])
+    run_minutes(spark, source, minutes, checkpoint)
+    assert totals(minutes.read()) == totals(minute_trade_agg(dedup_trades(spark.createDataFrame(good, TRADES))))
+
+
 def test_stream_dedup_within_and_across_batches(spark):
     source, checkpoint = shared_dir(spark, "source"), shared_dir(spark, "checkpoint")
     out = shared_dir(spark, "out")
