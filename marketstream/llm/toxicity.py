@@ -80,20 +80,28 @@ class _Emissions(dict):
 
 
 def marginals(emissions: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> np.ndarray:
-    """P(toxic) of each token; sequences lie one after another in ``emissions``.
+    """P(toxic) of each token; sequences lie one after another in ``emissions``."""
+    return forward_backward(emissions, lengths, transitions)[1]
+
+
+def forward_backward(
+    emissions: np.ndarray, lengths: np.ndarray, transitions: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """P(toxic) of each token given what comes up to it, and given its whole sequence.
+
+    A sequence follows a clean token.
 
     All sequences advance together, the longest first, so a step costs the ones still running.
     """
-    out = np.zeros(len(emissions))
+    out, forward = np.zeros(len(emissions)), np.zeros(len(emissions))
     order = np.argsort(-lengths, kind="stable")
     order = order[lengths[order] > 0]
     if not len(order):
-        return out
+        return forward, out
     starts = (np.cumsum(lengths) - lengths)[order]
     running = np.searchsorted(-lengths[order], -np.arange(1, lengths.max() + 1), side="right")
     odds = np.exp(np.clip(emissions, -30, 30))
     (oo, ot), (to, tt) = np.exp(transitions)
-    forward = np.empty(len(emissions))
     toxic = np.zeros(len(order))
     for step, count in enumerate(running):
         at = starts[:count] + step
@@ -111,7 +119,7 @@ def marginals(emissions: np.ndarray, lengths: np.ndarray, transitions: np.ndarra
         new_clean, new_tox = oo * clean + ot * ahead, to * clean + tt * ahead
         scale = 1 / (new_clean + new_tox)
         clean_b[: running[step]], toxic_b[: running[step]] = new_clean * scale, new_tox * scale
-    return out
+    return forward, out
 
 
 def _summary(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -171,7 +179,7 @@ def fit_field(tokens: np.ndarray, doc: np.ndarray, labels: np.ndarray, training:
             use = np.arange(WINDOW) < lengths[rows][:, None]
             flat, size = at[rows][use], lengths[rows]
             scores = bias + weights[tokens[flat]].sum(axis=1)
-            p = marginals(scores, size, moves)
+            forward, p = forward_backward(scores, size, moves)
             gap = labels[flat] - p
             touched, place = np.unique(tokens[flat], return_inverse=True)
             slope = np.bincount(place.ravel(), np.repeat(gap, FEATURES)) / len(rows)
@@ -180,7 +188,7 @@ def fit_field(tokens: np.ndarray, doc: np.ndarray, labels: np.ndarray, training:
             total = gap.sum() / len(rows)
             bias_square += total**2
             bias += training.rate * total / np.sqrt(bias_square)
-            pairs = _pair_gaps(scores, p, labels[flat], size, moves) / len(rows)
+            pairs = pair_gaps(forward, p, labels[flat], size, moves) / len(rows)
             moves_squares += pairs**2
             moves += 0.1 * training.rate * pairs / np.sqrt(moves_squares)
     keep = np.flatnonzero(np.abs(weights) > 1e-3)
@@ -189,21 +197,24 @@ def fit_field(tokens: np.ndarray, doc: np.ndarray, labels: np.ndarray, training:
     return model
 
 
-def _pair_gaps(scores, p, labels, lengths, moves) -> np.ndarray:
-    """Observed minus expected transitions between neighbouring tokens.
+def expected_pairs(forward: np.ndarray, p: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """P(tag before, tag) of every token but the first of its sequence, as [before, tag, token].
 
-    The expectation takes the two marginals and the factor of the pair; exact for independent
-    neighbours, which is what tokens away from toxic runs are.
+    Given a token's tag, the one before it depends on what comes up to there alone.
     """
-    inner = np.ones(len(scores), bool)
-    inner[np.cumsum(lengths) - lengths] = False
-    left, right = p[:-1][inner[1:]], p[1:][inner[1:]]
-    weight = np.exp(moves)
-    joint = np.stack([(1 - left) * (1 - right) * weight[0, 0], (1 - left) * right * weight[0, 1],
-                      left * (1 - right) * weight[1, 0], left * right * weight[1, 1]])
-    joint /= joint.sum(axis=0)
+    inner = np.ones(len(p), bool)
+    inner[(np.cumsum(lengths) - lengths)[lengths > 0]] = False
+    before, here = forward[:-1][inner[1:]], p[1:][inner[1:]]
+    joint = np.stack([1 - before, before])[:, None, :] * np.exp(moves)[:, :, None]
+    return joint / joint.sum(axis=0) * np.stack([1 - here, here])
+
+
+def pair_gaps(forward, p, labels, lengths, moves) -> np.ndarray:
+    """Observed minus expected transitions between neighbouring tokens."""
+    inner = np.ones(len(p), bool)
+    inner[(np.cumsum(lengths) - lengths)[lengths > 0]] = False
     seen = np.bincount(labels[:-1][inner[1:]] * 2 + labels[1:][inner[1:]], minlength=4)
-    return (seen - joint.sum(axis=1)).reshape(2, 2)
+    return seen.reshape(2, 2) - expected_pairs(forward, p, lengths, moves).sum(axis=2)
 
 
 def calibrate(summary: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float]:

@@ -49,16 +49,20 @@ def test_marginals_equal_enumeration():
     rnd = np.random.default_rng(4)
     lengths = np.array([3, 0, 5, 1, 4])
     scores, moves = rnd.normal(size=lengths.sum()) * 2, rnd.normal(size=(2, 2))
-    got, at = toxicity.marginals(scores, lengths, moves), 0
+    forward, got = toxicity.forward_backward(scores, lengths, moves)
+    pairs, at, pair = toxicity.expected_pairs(forward, got, lengths, moves), 0, 0
     for n in lengths:
-        total, marked = 0.0, np.zeros(n)
+        total, marked, seen = 0.0, np.zeros(n), np.zeros((2, 2, max(0, n - 1)))
         for code in range(1 << n):
             tags = [code >> i & 1 for i in range(n)]
             value = sum(scores[at + i] for i in range(n) if tags[i]) + sum(moves[a][b] for a, b in zip([0, *tags], tags, strict=False))
             total += np.exp(value)
             marked += np.array(tags) * np.exp(value)
+            for i in range(n - 1):
+                seen[tags[i], tags[i + 1], i] += np.exp(value)
         assert np.allclose(got[at : at + n], marked / total)
-        at += n
+        assert np.allclose(pairs[:, :, pair : pair + max(0, n - 1)], seen / total)
+        at, pair = at + n, pair + max(0, n - 1)
 
 
 def test_toxicity_without_labels_or_documents(spark):
