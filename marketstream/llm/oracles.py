@@ -1,3 +1,49 @@
 """DuckDB twins of the corpus queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from .source_mixing import LEAST_PARTS, PART_ROWS, Mixture
+
+_MIXTURE = Mixture()
+_WORD = r"[^\x20\x09-\x0D]+"
+
+_MIXING = f"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0) AS size,
+         md5(concat_ws(':', '{_MIXTURE.seed}', CAST(doc_id AS VARCHAR))) AS ord
+  FROM documents
+),
+parts AS (SELECT greatest({LEAST_PARTS}, CAST(ceil(count(*) / {PART_ROWS}) AS BIGINT)) AS n FROM sized),
+sources AS (
+  SELECT source, sum(size) AS words,
+         {list(_MIXTURE.weights)}[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(_MIXTURE.weights)} + 1] AS w
+  FROM sized GROUP BY source
+),
+wanted AS (SELECT CAST({_MIXTURE.share} AS DOUBLE) * sum(words) AS words FROM sources),
+-- Sources by how soon they are full; the first k full ones leave this level for the others.
+filled AS (
+  SELECT source, words, w, {_MIXTURE.most_copies} * words / w AS full_at,
+         ((SELECT words FROM wanted)
+          - coalesce(sum({_MIXTURE.most_copies} * words) OVER before, 0)) / sum(w) OVER rest AS level
+  FROM sources
+  WINDOW before AS (ORDER BY {_MIXTURE.most_copies} * words / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         rest AS (ORDER BY {_MIXTURE.most_copies} * words / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+),
+final AS (SELECT min_by(level, full_at) AS level FROM filled WHERE full_at >= level),
+targets AS (
+  SELECT source, words, least(CAST({_MIXTURE.most_copies} * words AS DOUBLE), w * final.level) AS target
+  FROM sources, final
+),
+placed AS (
+  SELECT s.doc_id, s.size, t.words, t.target,
+         row_number() OVER (
+           PARTITION BY s.source
+           ORDER BY length(CAST(s.size AS VARCHAR)) * 100 + CAST(substr(CAST(s.size AS VARCHAR), 1, 2) AS INTEGER),
+                    CAST('0x' || substr(s.ord, 1, 8) AS BIGINT) % parts.n, s.ord, s.size) AS place,
+         CASE WHEN t.words > 0 THEN t.target / t.words ELSE 0 END AS expected
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source, parts
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(words AS BIGINT) AS source_size, target,
+       CAST(size * least(floor(place * expected + {_MIXTURE.offset!r})
+                         - floor((place - 1) * expected + {_MIXTURE.offset!r}), {_MIXTURE.most_copies}) AS BIGINT) AS taken
+FROM placed"""
+
+ORACLES: dict[str, str] = {"op4_source_mixing": _MIXING}
