@@ -135,26 +135,35 @@ def repeated_suffixes(docs: DataFrame) -> DataFrame:
     return marked.filter("not single").unionByName(singles).drop("outer", "single")
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document and kept suffix the run of windows that chose it, and a hash of the whole run."""
+    kind = pa.list_(pa.int64())
     for batch in batches:
-        docs, windows, starts = [], [], []
+        found: list[list] = [[], [], [], [], []]
         places = batch.column("places").to_pylist()
         rows = zip(batch.column("doc").to_pylist(), texts_as_bytes(batch.column("text")), places, strict=True)
         for doc, text, kept in rows:
             words = word_hashes(text)
-            _, chosen = minimisers(words)
+            keys, chosen = minimisers(words)
+            windows = run_hashes(words, LENGTH)
             marked = np.zeros(len(words) + 1, bool)
             marked[kept] = True
-            start = np.flatnonzero(marked[chosen])
-            docs.append(np.full(len(start), doc))
-            starts.append(start)
-            windows.append(run_hashes(words, LENGTH)[start])
-        if docs:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(docs).astype(np.int64)), pa.array(np.concatenate(starts).astype(np.int32)),
-                 pa.array(np.concatenate(windows).view(np.int64))],
-                ["doc", "start", "window"],
-            )
+            starts = np.flatnonzero(np.diff(chosen, prepend=-1))
+            ends = np.append(starts[1:], len(chosen))
+            wanted = np.flatnonzero(marked[chosen[starts]])
+            for start, end in zip(starts[wanted], ends[wanted], strict=True):
+                part = windows[start:end]
+                place = int(chosen[start])
+                digest = xxhash.xxh64_intdigest(part.tobytes(), place - int(start)) >> 1
+                row = (doc, int(start), keys[place : place + 1].view(np.int64)[0], digest, part.view(np.int64))
+                for column, value in zip(found, row, strict=True):
+                    column.append(value)
+        columns = [pa.array(column, pa.int64()) for column in found[:4]]
+        lengths = np.array([len(w) for w in found[4]], np.int32)
+        flat = np.concatenate(found[4]) if found[4] else np.zeros(0, np.int64)
+        ends = np.append(0, np.cumsum(lengths)).astype(np.int32)
+        columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)).cast(kind))
+        yield pa.RecordBatch.from_arrays(columns, ["doc", "start", "key", "run", "windows"])
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -171,15 +180,32 @@ def repeats(docs: DataFrame) -> DataFrame:
     rows = docs.select(_doc().alias("doc"), F.xxhash64("text").alias("text_hash"), "text").filter("text is not null")
     found = repeated_suffixes(rows)
     places = found.groupBy("doc", "text_hash").agg(F.collect_set("place").alias("places"))
-    windows = rows.join(places, ["doc", "text_hash"]).select("doc", "text", "places")
-    windows = stored(windows.mapInArrow(_windows, "doc long, start int, window long"), "windows")
-    firsts = windows.groupBy("window").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
+    kinds = "doc long, start long, key long, run long, windows array<long>"
+    runs = rows.join(places, ["doc", "text_hash"]).select("doc", "text", "places").mapInArrow(_runs, kinds)
+    runs = stored(runs, "runs")
+    # Equal windows chose equal suffixes. Where all runs of a suffix are equal, they are settled
+    # together; only the others are taken apart and compared window by window.
+    keyed = runs.groupBy("key").agg(
+        F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"), (F.min("run") == F.max("run")).alias("alike")
+    )
+    keyed = keyed.filter("first_doc < last_doc").drop("last_doc")
+    size = F.size("windows").cast("long").alias("size")
+    whole = runs.select("key", "doc", "start", size).join(keyed.filter("alike"), "key")
+    mixed = runs.join(keyed.filter("not alike").select("key"), "key", "left_semi")
+    mixed = mixed.select("doc", "start", F.posexplode("windows").alias("step", "window"))
+    mixed = mixed.select("doc", (F.col("start") + F.col("step")).alias("start"), "window")
+    firsts = mixed.groupBy("window").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
     firsts = firsts.filter("first_doc < last_doc").drop("last_doc")
-    repeated = windows.join(firsts, "window").select("doc", "start", "first_doc").distinct()
-    place = F.row_number().over(W.partitionBy("doc", "first_doc").orderBy("start"))
-    runs = repeated.withColumn("run", F.col("start") - place)
-    return runs.groupBy("doc", "first_doc", "run").agg(
-        F.min("start").alias("word_start"), (F.max("start") + LENGTH).alias("word_end")
+    single = mixed.join(firsts, "window").select("doc", "first_doc", "start", F.lit(1).cast("long").alias("size"))
+    every = whole.select("doc", "first_doc", "start", "size").unionByName(single)
+
+    order = W.partitionBy("doc", "first_doc").orderBy("start")
+    end = F.max(F.col("start") + F.col("size")).over(order.rowsBetween(W.unboundedPreceding, -1))
+    opens = (end.isNull() | (F.col("start") > end)).cast("long")
+    passages = every.withColumn("opens", opens).withColumn("passage", F.sum("opens").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    return passages.groupBy("doc", "first_doc", "passage").agg(
+        F.min("start").cast("int").alias("word_start"),
+        (F.max(F.col("start") + F.col("size")) - 1 + LENGTH).cast("int").alias("word_end"),
     ).select("doc", "first_doc", "word_start", "word_end", (F.col("doc") != F.col("first_doc")).alias("removed"))
 
 
