@@ -197,15 +197,24 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, rule: Disclosure) -> Dat
         .groupBy("entity")
         .agg(F.count("*").alias("entity_docs"))
     )
-    pairs = stored(pairs.join(entities, "entity"), "pairs")
+    # A term is in at least the documents that hold it near some entity. Where it discloses too
+    # little even if it is in no other, its documents need not be counted: most words end here.
+    beside = (
+        found.filter(F.size("near") > 0)
+        .select(F.explode(F.array_distinct(F.transform("near", lambda n: n["term"]))).alias("term"))
+        .groupBy("term")
+        .agg(F.count("*").alias("near_docs"))
+    )
+    content = -F.log2(F.col("entity_docs") / total)
+    mutual = lambda docs: F.log2(F.col("together") * total / (F.col("entity_docs") * F.col(docs)))
+    reaches = (content > 0) & (mutual("near_docs") / content >= rule.generalise)
+    pairs = stored(pairs.join(entities, "entity").join(beside, "term").filter(reaches), "pairs")
     looked = docs.select("text", _bit_table(pairs.select("term").distinct()).alias("bits"))
     words = F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower)
     held = F.array_distinct(F.filter(words, lambda w: _may_hold(F.col("bits"), w)))
     held = looked.select(F.explode(held).alias("term"))
     counts = held.groupBy("term").agg(F.count("*").alias("term_docs"))
-    content = -F.log2(F.col("entity_docs") / total)
-    mutual = F.log2(F.col("together") * total / (F.col("entity_docs") * F.col("term_docs")))
-    shares = pairs.join(counts, "term").filter(content > 0).withColumn("share", mutual / content)
+    shares = pairs.join(counts, "term").withColumn("share", mutual("term_docs") / content)
     best = F.max(F.struct("share", "kind"))
     return (
         shares.filter(F.col("share") >= rule.generalise)
