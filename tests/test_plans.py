@@ -28,10 +28,13 @@ ACTING = {
     name
     for name in harness.queries()
     if name.startswith("stream_")
+    or name.startswith("one_product_")
     or name
     in (
         "feed_source",
         "fanout_counts",
+        "fanout_contents",
+        "replay_new_checkpoint",
         "replay_idempotent",
         "hourly_partition_counts",
         "retention_partitions",
