@@ -10,7 +10,7 @@ from __future__ import annotations
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from .common import small_batches
 
 UNKNOWN = "und"
-#: Symbols: 0 for anything but letters, 1 to 62 for the commonest letters, 63 for other letters.
+#: Symbols: 0 for anything but letters, 1 to 62 for the commonest letters, 63 for letters that no sample
+#: has, 64 and more for all other letters of the samples; these have their transitions in a sorted array.
 SYMBOLS, OTHER = 64, 63
 #: Texts are parsed in pieces of this many symbols; a piece begins a new phrase.
 PIECE = 2048
@@ -79,15 +80,28 @@ def dense(nexts: list[dict[int, int]]) -> np.ndarray:
     lost = len(nexts)
     restart = np.full(SYMBOLS, lost, np.int32)
     for symbol, state in nexts[0].items():
-        restart[symbol] = state
+        if symbol < SYMBOLS:
+            restart[symbol] = state
     table = np.tile(restart | FAIL, (lost + 1, 1))
     table[0] = restart
     for state, row in enumerate(nexts):
         for symbol, target in row.items():
-            table[state, symbol] = target
+            if symbol < SYMBOLS:
+                table[state, symbol] = target
     return table
 
 
+def sparse(nexts: list[dict[int, int]], at: int) -> tuple[np.ndarray, np.ndarray]:
+    """Transitions by letters beyond the dense table: state and symbol as one sorted key, next state."""
+    found = sorted((_key(i + at, c), target + at) for i, row in enumerate(nexts) for c, target in row.items() if c >= SYMBOLS)
+    keys, targets = zip(*found, strict=True) if found else ((), ())
+    return np.array(keys, np.int64), np.array(targets, np.int32)
+
+
+def _key(state, symbol):
+    return state * 0x200000 + symbol
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -95,16 +109,18 @@ class Model:
     table: np.ndarray
     starts: np.ndarray
     bits: np.ndarray
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    targets: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
 
 
 def _symbol_table(letters: list[str]) -> np.ndarray:
     """Symbol of each code point."""
-    table = np.zeros(0x110000, np.uint8)
+    table = np.zeros(0x110000, np.int32)
     for point in range(0x110000):
         if unicodedata.category(chr(point))[0] == "L":
             table[point] = OTHER
-    for i, letter in enumerate(letters[: OTHER - 1]):
-        table[ord(letter)] = i + 1
+    for i, letter in enumerate(letters):
+        table[ord(letter)] = i + 1 if i < OTHER - 1 else i + 2
     return table
 
 
@@ -112,7 +128,7 @@ def symbols_of(text: str, symbol_of: np.ndarray) -> np.ndarray:
     """Lowered text as symbols, runs of 0 as one."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
     found = symbol_of[points]
-    return found[(found != 0) | (np.append(np.uint8(0), found[:-1]) != 0)]
+    return found[(found != 0) | (np.append(found.dtype.type(0), found[:-1]) != 0)]
 
 
 def train(docs: DataFrame, usable: Column | None = None, training: Training | None = None) -> Model:
@@ -128,7 +144,7 @@ def train(docs: DataFrame, usable: Column | None = None, training: Training | No
     rows = rows.filter("lang is not null and text is not null and doc_id is not null").select("doc_id", "text", "lang")
     sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
-        return Model([], np.zeros(0x110000, np.uint8), np.zeros((0, SYMBOLS), np.int32), np.zeros(0, np.int32), np.zeros(0))
+        return Model([], np.zeros(0x110000, np.int32), np.zeros((0, SYMBOLS), np.int32), np.zeros(0, np.int32), np.zeros(0))
     rates = spark.createDataFrame(
         [(lang, min(1.0, training.documents / size)) for lang, size in sizes.items()], "lang string, rate double"
     )
@@ -143,22 +159,43 @@ def train(docs: DataFrame, usable: Column | None = None, training: Training | No
     samples = {r.lang: r.text[: 2 * limit] for r in texts.collect()}
     counts = Counter(c for text in samples.values() for c in text.lower() if unicodedata.category(c)[0] == "L")
     symbol_of = _symbol_table([c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))])
-    languages, tables, starts, bits, at = sorted(samples), [], [], [], 0
+    languages, tables, rare, starts, bits, at = sorted(samples), [], [], [], [], 0
     for language in languages:
         symbols = symbols_of(samples[language], symbol_of)[:limit]
-        table = dense(suffix_automaton(symbols.tolist()))
+        nexts = suffix_automaton(symbols.tolist())
+        table = dense(nexts)
+        rare.append(sparse(nexts, at))
         tables.append(table + np.int32(at))
         starts.append(at)
         bits.append(np.log2(max(2, len(symbols))))
         at += len(table)
-    return Model(languages, symbol_of, np.vstack(tables), np.array(starts, np.int32), np.array(bits))
+    keys, targets = (np.concatenate(part) for part in zip(*rare, strict=True))
+    return Model(languages, symbol_of, np.vstack(tables), np.array(starts, np.int32), np.array(bits), keys, targets)
+
+
+def _rare_steps(states: np.ndarray, symbols: np.ndarray, model: Model) -> np.ndarray:
+    """As ``dense`` has it, next states by letters that are in the sorted array only."""
+
+    def known(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        wanted = _key(at.astype(np.int64), symbols)
+        if not len(model.keys):
+            return np.zeros(at.shape, bool), np.zeros(at.shape, np.int32)
+        place = np.minimum(np.searchsorted(model.keys, wanted), len(model.keys) - 1)
+        return model.keys[place] == wanted, model.targets[place]
+
+    first = model.starts[:, None]
+    lost = np.append(model.starts[1:], np.int32(len(model.table)))[:, None] - np.int32(1)
+    there, target = known(states)
+    begins, restart = known(np.broadcast_to(first, states.shape))
+    restart = np.where(begins, restart, lost)
+    return np.where(there, target, np.where(states == first, restart, restart | FAIL))
 
 
 def phrases(pieces: list[np.ndarray], model: Model) -> np.ndarray:
     """Number of phrases by piece and language; all pieces and languages advance together."""
     lengths = np.array([len(p) for p in pieces], np.int64)
     order = np.argsort(-lengths, kind="stable")
-    grid = np.zeros((int(lengths.max(initial=0)), len(pieces)), np.uint8)
+    grid = np.zeros((int(lengths.max(initial=0)), len(pieces)), np.int32)
     for column, i in enumerate(order):
         grid[: lengths[i], column] = pieces[i]
     running = np.searchsorted(-lengths[order], -np.arange(1, len(grid) + 1), side="right")
@@ -166,7 +203,10 @@ def phrases(pieces: list[np.ndarray], model: Model) -> np.ndarray:
     states = np.repeat(model.starts[:, None], len(pieces), axis=1)
     count = np.zeros_like(states)
     for row, active in zip(grid, running, strict=True):
-        found = flat.take((states[:, :active] << 6) + row[:active])
+        found = flat.take((states[:, :active] << 6) + np.minimum(row[:active], OTHER))
+        if row[:active].max() >= SYMBOLS:
+            rare = np.flatnonzero(row[:active] >= SYMBOLS)
+            found[:, rare] = _rare_steps(states[:, rare], row[rare], model)
         count[:, :active] += found >> 30
         np.bitwise_and(found, mask, out=states[:, :active])
     out = np.zeros((len(pieces), len(model.starts)))

@@ -93,6 +93,39 @@ def test_phrases_equal_plain_parsing():
     assert got.tolist() == [plain_phrases(p.tolist(), known) for p in pieces]
 
 
+def test_rare_letters_follow_the_same_automaton():
+    """Phrases do not depend on whether letters lie in the dense table or in the sorted array."""
+    rnd = np.random.default_rng(8)
+    low = [rnd.integers(1, 30, 400), rnd.integers(1, 30, 300)]
+    pieces = [rnd.integers(1, 34, n) for n in (1, 50, 200)] + [low[0][40:160], low[1][:90]]
+
+    def counted(shift):
+        tables, rare, starts, at = [], [], [], 0
+        for learned in low:
+            nexts = language_id.suffix_automaton((learned + shift).tolist())
+            tables.append(language_id.dense(nexts) + np.int32(at))
+            rare.append(language_id.sparse(nexts, at))
+            starts.append(at)
+            at += len(tables[-1])
+        keys, targets = (np.concatenate(part) for part in zip(*rare))
+        model = language_id.Model(["x", "y"], np.zeros(1), np.vstack(tables), np.array(starts, np.int32), np.ones(2), keys, targets)
+        return language_id.phrases([p + shift for p in pieces], model)
+
+    assert (counted(0) == counted(50)).all() and (counted(0) == counted(500)).all()
+
+
+def test_languages_of_rare_scripts(spark):
+    """Two small languages in scripts of many letters with words of the same lengths, beside a large Latin one."""
+    latin = sentences(200, 61)
+    shift = lambda t, base: "".join(chr(base + 97 * (ord(c) - 97) + n % 5) if c != " " else c for n, c in enumerate(t))
+    small = sentences(60, 62, vocabulary=100)
+    rows = list(enumerate(latin + [shift(t, 0x4E00) for t in small] + [shift(t, 0xAC00) for t in small]))
+    docs = docs_table(spark, rows, lang=lambda n: "la" if n < 200 else "zh" if n < 260 else "ko")
+    model = language_id.train(docs, F.col("doc_id") % 3 != 0)
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(docs, model).collect()}
+    assert all(got[i] == ("la" if i < 200 else "zh" if i < 260 else "ko") for i, _ in rows)
+
+
 def test_languages(spark):
     a, b = sentences(120, 51, vocabulary=200), [t.translate(str.maketrans("abcdefghijklmnop", "zyxwvutsrqponmlk")) for t in sentences(120, 52, vocabulary=200)]
     rows = [*enumerate(a + b), (900, None), (901, "12 34 ..."), (902, ""), (905, a[0] * 200)]
