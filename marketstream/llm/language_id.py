@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_batches
@@ -32,7 +32,8 @@ FAIL = np.int32(1 << 30)
 class Training:
     """Bounds of the sample of labelled text: letters per language, and over all languages.
 
-    ``documents`` rows per language give at most ``window`` characters each, from a hashed place.
+    ``documents`` different texts per language give at most ``window`` characters each, from a hashed
+    place.
     """
 
     letters: int = 30_000
@@ -131,37 +132,54 @@ def symbols_of(text: str, symbol_of: np.ndarray) -> np.ndarray:
     return found[(found != 0) | (np.append(found.dtype.type(0), found[:-1]) != 0)]
 
 
+def joined(windows: list[np.ndarray], limit: int) -> np.ndarray:
+    """Windows one after another, each followed by a 0, cut to the greatest length with ``limit`` symbols at most."""
+    low, high = 0, max(map(len, windows), default=0)
+    while low < high:
+        middle = (low + high + 1) // 2
+        fits = sum(min(len(w), middle) + 1 for w in windows) <= limit
+        low, high = (middle, high) if fits else (low, middle - 1)
+    return np.concatenate([np.append(w[:low], 0) for w in windows]).astype(np.int32)
+
+
 def train(docs: DataFrame, usable: Column | None = None, training: Training | None = None) -> Model:
     """Fit on rows of ``docs(doc_id, text, lang)`` with a language, those that are ``usable`` if given.
 
-    Counts per language come from all rows; a hashed sample of each language is read by one task per
-    language, at most ``documents`` windows.
+    The sample of a language are the ``documents`` different texts of least hash, so copies count
+    once. Each gives one window; where they have more than ``letters`` together, all are cut to one
+    length, so every text of the sample is learned.
     """
     training = training or Training()
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs if usable is None else docs.filter(usable)
     rows = rows.filter("lang is not null and text is not null and doc_id is not null").select("doc_id", "text", "lang")
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = rows.select("lang", "text", F.xxhash64("text", F.lit(training.seed)).alias("place"))
+    sizes = {r.lang: r.texts for r in rows.groupBy("lang").agg(F.countDistinct("place").alias("texts")).collect()}
     if not sizes:
         return Model([], np.zeros(0x110000, np.int32), np.zeros((0, SYMBOLS), np.int32), np.zeros(0, np.int32), np.zeros(0))
+    # Twice as many as needed pass the rate; the exact number is taken of these.
     rates = spark.createDataFrame(
-        [(lang, min(1.0, training.documents / size)) for lang, size in sizes.items()], "lang string, rate double"
+        [(lang, min(1.0, (2 * training.documents + 50) / size)) for lang, size in sizes.items()], "lang string, rate double"
     )
-    buckets = F.lit(1 << 30)
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit(training.seed)), buckets) < F.col("rate") * buckets
+    buckets = 1 << 30
+    drawn = F.pmod("place", F.lit(buckets)) < F.col("rate") * buckets
     spare = F.greatest(F.length("text") - training.window, F.lit(0))
-    place = F.pmod(F.xxhash64("text"), spare + 1).cast("int") + 1
+    start = F.pmod(F.xxhash64("text"), spare + 1).cast("int") + 1
     windows = rows.join(F.broadcast(rates), "lang").filter(drawn)
-    windows = windows.select("lang", F.substring("text", place, F.lit(training.window)).alias("text"))
+    windows = windows.select("lang", "place", F.substring("text", start, F.lit(training.window)).alias("text"))
+    windows = windows.groupBy("lang", "place").agg(F.min("text").alias("text"))
+    order = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("place", F.lit(buckets)), "place"))
+    chosen = windows.withColumn("at", order).filter(F.col("at") <= training.documents).orderBy("lang", "at").collect()
     limit = min(training.letters, training.all_letters // len(sizes))
-    texts = windows.groupBy("lang").agg(F.array_join(F.array_sort(F.collect_list("text")), " ").alias("text"))
-    samples = {r.lang: r.text[: 2 * limit] for r in texts.collect()}
-    counts = Counter(c for text in samples.values() for c in text.lower() if unicodedata.category(c)[0] == "L")
+    samples: dict[str, list[str]] = {}
+    for row in chosen:
+        samples.setdefault(row.lang, []).append(row.text)
+    counts = Counter(c for texts in samples.values() for t in texts for c in t.lower() if unicodedata.category(c)[0] == "L")
     symbol_of = _symbol_table([c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))])
     languages, tables, rare, starts, bits, at = sorted(samples), [], [], [], [], 0
     for language in languages:
-        symbols = symbols_of(samples[language], symbol_of)[:limit]
+        symbols = joined([symbols_of(t, symbol_of) for t in samples[language]], limit)
         nexts = suffix_automaton(symbols.tolist())
         table = dense(nexts)
         rare.append(sparse(nexts, at))

@@ -126,6 +126,23 @@ def test_languages_of_rare_scripts(spark):
     assert all(got[i] == ("la" if i < 200 else "zh" if i < 260 else "ko") for i, _ in rows)
 
 
+def test_every_text_of_the_sample_is_learned(spark):
+    """One text holds most rows and sorts first; rows of one id repeat. The other texts are learned all the same."""
+    others = [f"z{t}" for t in sentences(40, 63, size=200, vocabulary=3000)]
+    copied = "aaa " + sentences(1, 64, size=400)[0]
+    rows = [*enumerate(others), *((100 + i, copied) for i in range(200)), *[(7, others[7])] * 30]
+    training = language_id.Training(letters=8000, documents=41)
+    model = language_id.train(docs_table(spark, rows), training=training)
+    per_text = 8000 // 41 - 1
+    for text in (*others, copied):
+        start = language_id.symbols_of(text, model.symbol_of)
+        pieces = [start[i : i + 40] for i in range(0, len(start) - 40, 5)]
+        known = sum(language_id.phrases([p], model)[0, 0] == 1 for p in pieces)
+        assert known >= (per_text - 60) // 5
+    # The sample is bounded, whatever the number of rows.
+    assert len(model.table) <= 2 * 8000 + 1
+
+
 def test_languages(spark):
     a, b = sentences(120, 51, vocabulary=200), [t.translate(str.maketrans("abcdefghijklmnop", "zyxwvutsrqponmlk")) for t in sentences(120, 52, vocabulary=200)]
     rows = [*enumerate(a + b), (900, None), (901, "12 34 ..."), (902, ""), (905, a[0] * 200)]
