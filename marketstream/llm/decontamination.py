@@ -1,10 +1,11 @@
-"""Benchmark decontamination: SimHash windows of item size, Hamming blocks, exact verification.
+"""Benchmark decontamination: SimHash windows of item size, exact shingle index, exact verification.
 
 Windows as long as a benchmark item are laid over a document wherever enough of the item's shingles
 lie together; elsewhere no window can reach the similarity asked for, so nothing is lost by that. Each
-window gets a SimHash of its words. Two fingerprints within the radius agree in at least one of
-``RADIUS + 1`` blocks, so a window only meets items that share a block with it, and then those
-within the radius. The weighted similarity of the shingles, repeats included, decides.
+window gets a SimHash of its words. An exact index of the items' shingles finds the candidates; it
+replaces a search by Hamming blocks, which add nothing to the radius, as two fingerprints within it
+always share one of ``RADIUS + 1`` blocks. The radius only drops windows that the index admits. The
+weighted similarity of the shingles, repeats included, decides.
 """
 
 from __future__ import annotations
@@ -164,8 +165,8 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY,
 
     ``benchmark`` has ``item_id`` and ``text``. Words are taken in lower case without marks; an item of
     fewer than five words is one shingle, a document shorter than an item is one window. Null and
-    empty items and documents hit nothing; repeated items count once. Items are taken in blocks of
-    about ``ITEM_BLOCK``, each one pass over the documents. A column ``hits`` in ``docs`` is replaced.
+    empty items and documents hit nothing; repeated items count once. Items are sent in tables of
+    about ``ITEM_BLOCK``, all of them in one pass. A column ``hits`` in ``docs`` is replaced.
     """
     small_batches(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
