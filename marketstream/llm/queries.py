@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    conversation_trie,
     decontamination,
     embedding_dedup,
+    exact_dedup,
     language_id,
     language_model,
     pii,
     quality,
     simhash_dedup,
     source_mixing,
+    spelling_variants,
     suffix_dedup,
     toxicity,
 )
@@ -133,6 +136,20 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling_variants.variants(_table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_pii,
@@ -145,5 +162,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_decontamination,
         op10_simhash_dedup,
+        op11_exact_dedup,
+        op12_spelling_variants,
+        op13_conversation_trie,
     )
 }
