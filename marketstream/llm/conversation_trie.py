@@ -162,7 +162,9 @@ def trie(conversations: DataFrame, band: int = BAND, piece_bytes: int = PIECE_BY
     """
     small_batches(conversations.sparkSession)
     turns = stored(_turns(conversations), "turns")
-    ordered = _rebuilt(turns).repartition("conv_id").sortWithinPartitions("conv_id", "at")
+    # Written first: above a union of inputs that are dealt alike, Spark 4.1 may leave out the shuffle, and
+    # adaptive execution then keeps the inputs in tasks of their own.
+    ordered = stored(_rebuilt(turns), "rebuilt").repartition("conv_id").sortWithinPartitions("conv_id", "at")
     rows = stored(ordered.mapInArrow(_chainer(band), "conv_id long, depth long, path binary, size long, ends boolean"), "prefixes")
     nodes = rows.groupBy("path", "depth", "size").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs"))
     parent = F.when(F.col("depth") > 0, _step("path", 1))
