@@ -6,6 +6,8 @@ return batch or streaming DataFrames and need no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,13 +40,36 @@ def write_hours(spark: SparkSession, sf_dir: str, path: str, hours: range) -> No
 
     An hour repeats what came in the five minutes before it, so copies arrive in another batch.
     """
-    rows = feed(spark, sf_dir)
+    seconds, hour = _arrival()
+    _write_in_order(feed(spark, sf_dir), path, hours, lambda n: (hour == n) | seconds.between(n * 3600 - 300, n * 3600 - 1))
+
+
+def write_late_hours(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The feed with every seventh row three hours late, and every eleventh sent again four hours later."""
+    _, hour = _arrival()
+    late, again = F.col("offset") % 7 == 3, F.col("offset") % 11 == 5
+
+    def arrives(number: int) -> Column:
+        return (~late & (hour == number)) | (late & (hour == number - 3)) | (again & (hour == number - 4))
+
+    _write_in_order(feed(spark, sf_dir), path, range(HOURS + 4), arrives)
+
+
+def _arrival() -> tuple[Column, Column]:
+    """Seconds since the start, and the hour in which a row arrives."""
     seconds = F.col("ts").cast("long") - ORIGIN_MICROS // 1_000_000
-    hour = F.least(F.floor(seconds / 3600), F.lit(HOURS - 1))
-    for number in hours:
-        again = seconds.between(number * 3600 - 300, number * 3600 - 1)
-        part = rows.where((hour == number) | again)
-        part.repartition(FILES_PER_HOUR).write.mode("append").parquet(path)
+    return seconds, F.least(F.floor(seconds / 3600), F.lit(HOURS - 1))
+
+
+def _write_in_order(rows: DataFrame, path: str, hours: range, arrives: Callable[[int], Column]) -> None:
+    """One part after another, each in a few files; the table is read once for all of them."""
+    rows = rows.persist()
+    try:
+        for number in hours:
+            part = rows.where(arrives(number)).repartition(FILES_PER_HOUR)
+            part.write.mode("append").parquet(path)
+    finally:
+        rows.unpersist()
 
 
 def hourly_stream(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
@@ -156,14 +181,15 @@ def newest_time(feed_df: DataFrame) -> Column:
 
 
 def wire_rows(
-    feed_df: DataFrame, channels: tuple[str, ...] = CHANNELS, malformed: bool = False
+    feed_df: DataFrame, channels: tuple[str, ...] = CHANNELS, malformed: bool = False, wrong_times: bool = False
 ) -> DataFrame:
     """Kafka rows that carry the feed as JSON messages, with the oddities of a real feed.
 
     Every message has a second event, a decoy that must not be read. Purchases are sent twice.
     Views are followed by a snapshot message. A signup message holds its item twice; for tickers
     and candles the first of the two is stale. Error items lack their product, the key has it.
-    With ``malformed``, clicks have a bad size text and views have no trade id.
+    With ``malformed``, clicks have a bad size text and views have no trade id. With ``wrong_times``, some
+    trades are dated 500 days later than their messages.
     """
     kind = F.col("event_type")
     copies = (
@@ -172,7 +198,8 @@ def wire_rows(
         .otherwise(F.array(F.lit("update")))
     )
     texts = F.date_format("ts", MICROS_FORMAT).alias("time_text")
-    messages = feed_df.select("*", texts, F.posexplode(copies).alias("copy", "update_type")).select(
+    traded = F.when(F.lit(wrong_times) & wrong_clocks(feed_df), F.col("ts") + F.make_interval(days=F.lit(500))).otherwise(F.col("ts"))
+    messages = feed_df.select("*", texts, F.date_format(traded, MICROS_FORMAT).alias("trade_time_text"), F.posexplode(copies).alias("copy", "update_type")).select(
         "*", F.explode(F.array(*[F.lit(c) for c in channels])).alias("channel")
     )
     body = F.struct(
@@ -194,6 +221,27 @@ def wire_rows(
     )
 
 
+def wrong_clocks(feed_df: DataFrame) -> Column:
+    """The rows of the feed whose trade time is wrong in ``wire_rows`` with ``wrong_times``."""
+    return feed_df["offset"] % 97 == 5
+
+
+def damaged_rows(feed_df: DataFrame) -> DataFrame:
+    """``wire_rows`` with malformed trades, and of 13 messages one cut short, one empty, and one without time.
+
+    Only tickers and candles need the time of the message.
+    """
+    wire = wire_rows(feed_df, malformed=True)
+    text, turn = F.col("value").cast("string"), F.col("offset") % 13
+    value = (
+        F.when(turn == 1, F.substring(text, 1, 20))
+        .when(turn == 2, F.lit(" "))
+        .when(turn == 3, F.regexp_replace(text, '"timestamp":"[^"]*"', '"timestamp":"noon"'))
+        .otherwise(text)
+    )
+    return wire.withColumn("value", F.encode(value, "UTF-8"))
+
+
 def _event(update_type: Column, price_shift: Column, malformed: bool) -> Column:
     """One event: the array of the message's channel is filled, the other two are absent."""
     is_channel = {c: F.col("channel") == c for c in CHANNELS}
@@ -233,7 +281,7 @@ def _trade_item(price_shift: Column, malformed: bool) -> Column:
         _text(F.col("price") + price_shift, "price"),
         size.alias("size"),
         F.col("side").alias("side"),
-        F.concat("time_text", F.lit("Z")).alias("time"),
+        F.concat("trade_time_text", F.lit("Z")).alias("time"),
     )
 
 

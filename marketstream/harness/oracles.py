@@ -112,6 +112,41 @@ sent_trades AS (
   FROM sent WHERE n_items = 2
 )"""
 
+# Messages as they are damaged, and the items of those that can be read and are updates.
+_DAMAGED = """
+messages AS (
+  SELECT *, "offset" * 2 + copy AS kafka_offset, ("offset" * 2 + copy) % 13 AS turn FROM copies CROSS JOIN channels
+),
+items AS (
+  SELECT *, 0 AS item_pos FROM messages WHERE update_type = 'update' AND turn NOT IN (1, 2)
+  UNION ALL
+  SELECT *, 1 FROM messages WHERE update_type = 'update' AND turn NOT IN (1, 2) AND event_type = 'signup'
+),
+dead AS (
+  SELECT 'message' AS kind, product_id, kafka_offset, 0 AS item_pos,
+         CASE turn WHEN 1 THEN 'not json' ELSE 'empty' END AS reason
+  FROM messages WHERE turn IN (1, 2)
+  UNION ALL
+  SELECT 'trade', product_id, kafka_offset, item_pos,
+         CASE event_type WHEN 'click' THEN 'size,trade_value' ELSE 'trade_id' END
+  FROM items WHERE channel = 'market_trades' AND event_type IN ('click', 'view')
+  UNION ALL
+  SELECT CASE channel WHEN 'ticker' THEN 'ticker' ELSE 'candle' END, product_id, kafka_offset, item_pos, 'message_ts_utc'
+  FROM items WHERE channel IN ('ticker', 'candles') AND turn = 3
+),
+stored AS (
+  SELECT 'trade' AS kind, product_id, count(DISTINCT trade_id) AS n
+  FROM items WHERE channel = 'market_trades' AND event_type NOT IN ('click', 'view') GROUP BY 2
+  UNION ALL
+  SELECT CASE channel WHEN 'ticker' THEN 'ticker' ELSE 'candle' END, product_id, count(DISTINCT date_trunc('minute', ts))
+  FROM items WHERE channel IN ('ticker', 'candles') AND turn <> 3 GROUP BY 1, 2
+)"""
+
+_DEAD_LETTERS = """
+SELECT kind, product_id, kafka_offset, CAST(item_pos AS INTEGER) AS item_pos, reason, CAST(1 AS BIGINT) AS n FROM dead
+UNION ALL
+SELECT kind, product_id, NULL, NULL, 'stored', CAST(n AS BIGINT) FROM stored"""
+
 _TRADE_COLUMNS = "trade_id, product_id, side, size, trade_value, trade_time_utc"
 _ROUNDED_MINUTES = """
 SELECT product_id, trade_time_utc, trade_count, round(total_volume, 4) AS total_volume,
@@ -471,6 +506,50 @@ FROM feed""",
             _FEED,
         ),
         "stream_dedup": _sql(f"\nSELECT {_TRADE_COLUMNS} FROM trades", _FEED, _TRADES),
+        "stream_wrong_time": _sql(
+            f"""
+SELECT {_TRADE_COLUMNS}, CAST(NULL AS VARCHAR) AS missing FROM trades WHERE "offset" % 97 <> 5
+UNION ALL
+SELECT trade_id, product_id, side, size, trade_value, trade_time_utc + INTERVAL '500 days', 'future'
+FROM trades WHERE "offset" % 97 = 5""",
+            _FEED, _TRADES,
+        ),
+        "stream_late_repaired": minutes,
+        "trim_after_failure": _sql(
+            """
+SELECT m.product_id, m.trade_time_utc, m.trade_count, round(m.total_volume, 4) AS total_volume,
+       round(m.buy_volume, 4) AS buy_volume, round(m.sell_volume, 4) AS sell_volume,
+       round(m.notional_value, 4) AS notional_value, r.n_raw
+FROM minutes m LEFT JOIN (
+  SELECT product_id, date_trunc('minute', ts) AS trade_time_utc, CAST(count(*) AS BIGINT) AS n_raw
+  FROM feed, now_ WHERE ts >= as_of - INTERVAL '10 minutes' GROUP BY 1, 2
+) r ON m.product_id = r.product_id AND m.trade_time_utc = r.trade_time_utc""",
+            _FEED, _NOW, _MINUTES,
+        ),
+        "reopened_tables": _sql(
+            """
+SELECT m.product_id, m.trade_time_utc, m.trade_count, round(m.total_volume, 4) AS total_volume,
+       round(m.buy_volume, 4) AS buy_volume, round(m.sell_volume, 4) AS sell_volume,
+       round(m.notional_value, 4) AS notional_value, t.price
+FROM minutes m LEFT JOIN ticker_minutes t
+  ON m.product_id = t.product_id AND m.trade_time_utc = t.ticker_ts_utc""",
+            _FEED, _MINUTES, _TICKERS, _TICKER_MINUTES,
+        ),
+        "dead_letters": _sql(_DEAD_LETTERS, _FEED, _COPIES, _CHANNELS, _DAMAGED),
+        "newest_rows": _sql(
+            """
+SELECT t.product_id, arg_max(t.price, t.ticker_ts_utc) AS price, arg_max(t.high_24h, t.ticker_ts_utc) AS high_24h,
+       arg_max(t.low_24h, t.ticker_ts_utc) AS low_24h,
+       arg_max(t.price_pct_chg_24h, t.ticker_ts_utc) AS price_pct_chg_24h,
+       arg_max(t.volume_24h, t.ticker_ts_utc) AS volume_24h, any_value(c.open) AS open, any_value(c.high) AS high,
+       any_value(c.low) AS low, any_value(c.close) AS close, any_value(c.avg_price) AS avg_price,
+       any_value(c.range) AS range
+FROM ticker_minutes t JOIN (
+  SELECT DISTINCT ON (product_id) * FROM candle_minutes ORDER BY product_id, candle_ts_utc DESC
+) c ON t.product_id = c.product_id
+GROUP BY 1""",
+            _FEED, _TICKERS, _TICKER_MINUTES, _CANDLES, _CANDLE_MINUTES,
+        ),
         "stream_minute_agg": minutes,
         "stream_restart": minutes,
         "stream_quarantine": quarantine,

@@ -8,7 +8,7 @@ from dataclasses import replace
 from functools import reduce
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -28,8 +28,8 @@ from ..operators.items import prepare_candles, prepare_tickers, prepare_trades
 from ..operators.latest import distinct_on
 from ..operators.merge import insert_new, upsert_add, upsert_replace
 from ..operators.parse import first_update_event, parse_envelope
-from ..operators.quality import TRADE_REQUIRED, quarantine_rows, valid_rows
-from ..operators.retention import trim_rows, trim_victims
+from ..operators.quality import RECORD_TIME, TRADE_REQUIRED, quarantine_rows, valid_rows
+from ..operators.retention import TRIM_AGE_MINUTES, trim_rows, trim_victims
 from ..operators.trades import dedup_trades, minute_trade_agg
 from ..operators.vwap import cumulative_vwap
 from ..plans import dashboards
@@ -350,6 +350,99 @@ def _market_tables(spark: SparkSession, purpose: str) -> sinks.MarketTables:
     return sinks.MarketTables.of(spark, TableNames(database=shared_database(spark, purpose)))
 
 
+@_query
+def trim_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trim and a batch that fail when staged, each with others in between, and copies of all that is left."""
+    feed_df = f.feed(spark, sf_dir)
+    now = feed_df.agg(F.max("ts")).first()[0]
+    tables = _market_tables(spark, "trim").create()
+    trades = kept(f.as_trades(feed_df))
+    turn = F.col("trade_id").cast("bigint") % 4
+    raw = tables.raw_trades
+
+    class Failing(type(raw)):
+        def apply(self, staged) -> None:
+            raise _Lost
+
+    sinks.write_trades(trades.where(turn.isin(1, 3)), tables, "live", 0)
+    with contextlib.suppress(_Lost):
+        sinks.trim_raw_trades(Failing(raw.table), run_id=0, as_of=now)
+    sinks.write_trades(trades.where(turn == 0), tables, "live", 1)
+    _fail_before_apply(trades.where(turn == 2), tables, "live", 2)
+    sinks.trim_raw_trades(raw, run_id=1, as_of=now)
+    sinks.write_trades(trades.where(turn == 2), tables, "live", 2)
+    sinks.trim_raw_trades(raw, run_id=2, as_of=now)
+    recent = F.col("trade_time_utc") >= F.lit(now) - F.make_interval(mins=F.lit(TRIM_AGE_MINUTES))
+    sinks.write_trades(trades.where(recent), tables, "live", 3)
+    trades.unpersist()
+    kept_ids = raw.read().groupBy("product_id", minute_bucket(F.col("trade_time_utc")).alias("trade_time_utc"))
+    joined = tables.trade_minutes.read().drop("event_hour").join(
+        kept_ids.agg(F.count("*").alias("n_raw")), ["product_id", "trade_time_utc"], "left"
+    )
+    return _out(joined, *VOLUMES)
+
+
+@_query
+def reopened_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables in a folder, a batch that fails after staging, and a catalog that knows nothing of it."""
+    feed_df = f.feed(spark, sf_dir)
+    folder = shared_dir(spark, "reopened")
+    trades = kept(f.as_trades(feed_df))
+    third = F.pmod(F.crc32("trade_id"), F.lit(3))
+    first, second = (
+        sinks.MarketTables.of(spark, TableNames(database=shared_database(spark, "reopened")), folder) for _ in range(2)
+    )
+    first.create()
+    sinks.write_trades(trades.where(third == 0), first, "live", 0)
+    sinks.write_tickers(f.as_tickers(feed_df), first, "live", 0)
+    _fail_before_apply(trades.where(third == 1), first, "live", 1)
+    second.create().recover()
+    sinks.write_trades(trades.where(third == 1), second, "live", 1)
+    sinks.write_trades(trades.where(third >= 1), second, "live", 2)
+    trades.unpersist()
+    prices = second.ticker_minutes.read().select("product_id", F.col("ticker_ts_utc").alias("trade_time_utc"), "price")
+    minutes = second.trade_minutes.read().drop("event_hour")
+    return _out(minutes.join(prices, ["product_id", "trade_time_utc"], "left"), *VOLUMES)
+
+
+@_query
+def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged messages of all kinds, each batch twice: what is aside, one by one, and how much is stored."""
+    f.use_utc(spark)
+    tables = _market_tables(spark, "dead").create()
+    wire = kept(f.damaged_rows(f.feed(spark, sf_dir)))
+    write = sinks.feed_writer(tables, "live")
+    for _ in range(2):
+        write(wire, 0)
+    wire.unpersist()
+    aside = tables.dead_letters.read().select("kind", "product_id", "kafka_offset", "item_pos", "reason", F.lit(1).cast("bigint").alias("n"))
+    stored = [
+        table.read().groupBy("product_id").agg(F.count("*").alias("n")).select(
+            F.lit(kind).alias("kind"), "product_id", F.lit(None).cast("bigint").alias("kafka_offset"),
+            F.lit(None).cast("int").alias("item_pos"), F.lit("stored").alias("reason"), "n",
+        )
+        for kind, table in (("trade", tables.raw_trades), ("ticker", tables.ticker_minutes), ("candle", tables.candle_minutes))
+    ]
+    return reduce(DataFrame.unionByName, [aside, *stored])
+
+
+@_query
+def newest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest-value questions from the table of newest rows, after a replay of old rows."""
+    tables = _market_tables(spark, "newest").create()
+    feed_df = f.feed(spark, sf_dir)
+    odd = F.col("offset") % 2 == 1
+    for number, part in enumerate((feed_df.where(odd), feed_df.where(~odd), _until(feed_df, BATCH_FROM))):
+        sinks.write_tickers(f.as_tickers(part), tables, "live", number)
+        sinks.write_candles(f.as_candles(part), tables, "live", number)
+    tickers, candles = tables.ticker_newest.read(), tables.candle_newest.read()
+    asked = [
+        dashboards.current_price(tickers), dashboards.high_24h(tickers), dashboards.low_24h(tickers),
+        dashboards.price_change_24h(tickers), dashboards.volume_24h(tickers), dashboards.latest_candle(candles),
+    ]
+    return reduce(lambda a, b: a.join(b, "product_id"), asked)
+
+
 # Projections, filters, predicates
 
 
@@ -411,13 +504,13 @@ def prepare_trades_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def prepare_tickers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _out(prepare_tickers(_updates(f.wire_source(spark, sf_dir), "ticker")))
+    return _out(prepare_tickers(_updates(f.wire_source(spark, sf_dir), "ticker")).drop(RECORD_TIME))
 
 
 @_query
 def prepare_candles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     candles = prepare_candles(_updates(f.wire_source(spark, sf_dir), "candles"))
-    return _out(candles, "range", "avg_price")
+    return _out(candles.drop(RECORD_TIME), "range", "avg_price")
 
 
 @_query
@@ -767,6 +860,34 @@ def stream_latest_candle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(snapshots.read().drop("event_hour", "kafka_offset"))
 
 
+@_query
+def stream_wrong_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replay in which some trades are dated long after their messages: these are aside, all others kept."""
+    configure_streaming(spark)
+    out, log = shared_dir(spark, "stream_wrong"), _whole_log(spark, sf_dir, "stream_wrong")
+    wire = f.wire_rows(f.hourly_stream(spark, sf_dir, log), ("market_trades",), wrong_times=True)
+    trades = prepare_trades(first_update_event(parse_envelope(wire)))
+    kept_rows = aggregates.stream_dedup(trades).select(*TRADE_COLUMNS)
+    drain(kept_rows, sinks.archive_writer(f"{out}/trades"), f"{out}/kept")
+    bad = quarantine_rows(trades, TRADE_REQUIRED, "trade_time_utc").select(*TRADE_COLUMNS, "missing")
+    drain(bad, sinks.archive_writer(f"{out}/bad"), f"{out}/aside")
+    aside = sinks.read_archive(spark, f"{out}/bad", bad.schema).dropDuplicates(["trade_id"])
+    kept_rows = sinks.read_archive(spark, f"{out}/trades", kept_rows.schema).withColumn("missing", F.lit(None).cast("string"))
+    return _out(kept_rows.unionByName(aside))
+
+
+@_query
+def stream_late_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A seventh of the trades far behind the watermark, and late copies of others: totals of all, each once."""
+    configure_streaming(spark)
+    log = shared_dir(spark, "stream_repaired_log")
+    f.write_late_hours(spark, sf_dir, log)
+    tables = _market_tables(spark, "stream_repaired").create()
+    trades = prepare_trades(_item_stream(spark, sf_dir, log, "market_trades"))
+    drain(aggregates.stream_with_late(trades), sinks.repairing_writer(tables), shared_dir(spark, "stream_repaired"))
+    return _out(tables.trade_minutes.read().drop("event_hour"), *VOLUMES)
+
+
 @_query
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure_streaming(spark)

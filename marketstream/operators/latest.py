@@ -70,3 +70,10 @@ def latest_row(
             .select(*values)
         )
     return df.groupBy("product_id").agg(*[F.max_by(v, ts_col).alias(v) for v in values])
+
+
+def newest_row(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The whole row with the greatest ``order_by`` per key, for tables of few rows per key."""
+    values = [c for c in df.columns if c not in keys]
+    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*values), F.struct(*order_by)).alias("newest"))
+    return newest.select(*keys, "newest.*").select(*df.columns)

@@ -49,13 +49,24 @@ CANDLE_MINUTES = (
     "close DOUBLE, range DOUBLE, avg_price DOUBLE, kafka_offset BIGINT"
 )
 PRODUCTS = "name STRING, product_id STRING, enabled BOOLEAN"
-LEDGER = "batch_id BIGINT, at_utc TIMESTAMP, source STRING, batch_group BIGINT"
+LEDGER = (
+    "batch_id BIGINT, at_utc TIMESTAMP, state STRING, purpose STRING, version STRING, hours STRING, "
+    "source STRING, batch_group BIGINT"
+)
 QUARANTINE = (
     "trade_id STRING, product_id STRING, side STRING, size DOUBLE, trade_value DOUBLE, "
     "trade_time_utc TIMESTAMP, missing STRING, source STRING, batch_id BIGINT, "
     "quarantined_at_utc TIMESTAMP"
 )
 
+# All kinds, with the text as it came; the hour is that of the record, so a retry finds its rows again.
+DEAD_LETTERS = (
+    "kind STRING, product_id STRING, topic STRING, partition INT, kafka_offset BIGINT, item_pos INT, "
+    "record_ts_utc TIMESTAMP, raw_value STRING, reason STRING, source STRING, batch_id BIGINT, "
+    "quarantined_at_utc TIMESTAMP"
+)
+DEAD_LETTER_KEYS = ("source", "batch_id", "kind", "topic", "partition", "kafka_offset", "item_pos")
+
 # Decimal places kept in the snapshot tables.
 TICKER_SCALES = {
     "price": 4,
@@ -84,6 +95,9 @@ class TableNames:
     ticker_minutes: str = "ticker_snapshot"
     candle_minutes: str = "candles_snapshot"
     quarantine: str = "trade_quarantine"
+    dead_letters: str = "dead_letters"
+    ticker_newest: str = "ticker_newest"
+    candle_newest: str = "candle_newest"
 
     def full(self, table: str) -> str:
         return f"{self.database}.{table}"

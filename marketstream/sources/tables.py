@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +45,8 @@ class HourlyTable:
 
     ``overwrite`` is stored as a table option: ``dynamic`` replaces only the hours that are
     written, ``static`` replaces the whole content. An hour is written by at most ``buckets`` tasks,
-    dealt by key: as many files, however many rows it has.
+    dealt by key: as many files, however many rows it has. With a ``location`` the files lie there and
+    outlive the catalog entry: dropping a partition leaves its files to ``delete``.
     """
 
     spark: SparkSession
@@ -54,15 +56,29 @@ class HourlyTable:
     keys: Sequence[str] = ()
     overwrite: str = "dynamic"
     buckets: int = 4
+    location: str | None = None
+
+    #: The partition column.
+    partition: ClassVar[str] = "event_hour"
 
     def create(self) -> HourlyTable:
+        placed = f" LOCATION '{self.location}'" if self.location else ""
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name} ({self.columns}, event_hour STRING) "
+            f"CREATE TABLE IF NOT EXISTS {self.name} ({self.columns}, {self.partition} STRING) "
             f"USING parquet OPTIONS (partitionOverwriteMode '{self.overwrite}') "
-            "PARTITIONED BY (event_hour)"
+            f"PARTITIONED BY ({self.partition}){placed}"
         )
         return self
 
+    def labelled(self, df: DataFrame) -> DataFrame:
+        """``df`` with the partition column."""
+        return with_hour(df, self.ts_col)
+
+    def root(self) -> str:
+        """The folder of the table."""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}")
+        return described.where("col_name = 'Location'").first()["data_type"]
+
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
@@ -70,7 +86,7 @@ class HourlyTable:
         return time_slice(self.read(), self.ts_col, start, end)
 
     def in_hours(self, hours: Iterable[str]) -> DataFrame:
-        return self.read().where(F.col("event_hour").isin(sorted(hours)))
+        return self.read().where(F.col(self.partition).isin(sorted(hours)))
 
     def hours(self) -> list[str]:
         """Labels of the existing partitions; as many as there are stored hours."""
@@ -96,9 +112,24 @@ class HourlyTable:
 
     def drop_hours(self, hours: Sequence[str]) -> None:
         if hours:
-            specs = ", ".join(f"PARTITION (event_hour='{hour}')" for hour in hours)
+            specs = ", ".join(self._spec(hour) for hour in hours)
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {specs}")
 
+    def switch(self, hours: Sequence[str], folder: str) -> None:
+        """Let hours be what lies in ``folder``, each in one step of the catalog.
+
+        A reader sees the old or the new hour. The old files stay for readers that have begun.
+        """
+        there = set(self.hours())
+        new = [f"{self._spec(h)} LOCATION '{folder}/{self.partition}={h}'" for h in hours if h not in there]
+        if new:
+            self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS {' '.join(new)}")
+        for h in there.intersection(hours):
+            self.spark.sql(f"ALTER TABLE {self.name} {self._spec(h)} SET LOCATION '{folder}/{self.partition}={h}'")
+
+    def _spec(self, hour: str) -> str:
+        return f"PARTITION ({self.partition}='{hour}')"
+
     def drop_old_partitions(self, as_of: Moment = None, keep_hours: int = 1) -> list[str]:
         """Drop partitions that start before the cutoff hour; returns their labels."""
         partitions = self.spark.createDataFrame([(h,) for h in self.hours()], "label STRING")
@@ -108,7 +139,7 @@ class HourlyTable:
         return labels
 
     def _shaped(self, df: DataFrame) -> DataFrame:
-        return with_hour(df, self.ts_col).select(*self.read().columns)
+        return self.labelled(df).select(*self.read().columns)
 
     def _by_hour(self, df: DataFrame) -> DataFrame:
         """Rows laid out so that an hour is few files: one layout for batches and for streams.
@@ -121,6 +152,31 @@ class HourlyTable:
         return rows.withColumn("event_hour", hour).repartition("event_hour", bucket)
 
 
+@dataclass(frozen=True)
+class KeyedTable(HourlyTable):
+    """A table of one row per key, dealt by a hash of the key into ``buckets`` partitions.
+
+    It takes batches like an hourly table; a bucket takes the place of an hour.
+    """
+
+    partition: ClassVar[str] = "bucket"
+
+    def labelled(self, df: DataFrame) -> DataFrame:
+        number = F.pmod(F.hash(*self.keys), F.lit(self.buckets))
+        return df.withColumn("bucket", F.format_string("b%04d", number))
+
+    def row_of(self, *key: str) -> DataFrame:
+        """The row of one key; reads its bucket only."""
+        wanted = self.read()
+        for name, value in zip(self.keys, key, strict=True):
+            wanted = wanted.where(F.col(name) == F.lit(value))
+        number = F.pmod(F.hash(*(F.lit(value) for value in key)), F.lit(self.buckets))
+        return wanted.where(F.col("bucket") == F.format_string("b%04d", number))
+
+    def _by_hour(self, df: DataFrame) -> DataFrame:
+        return self._shaped(df).repartition("bucket")
+
+
 def drop_old_partitions(
     tables: Sequence[HourlyTable], as_of: Moment = None, keep_hours: int = 1
 ) -> dict[str, list[str]]:

@@ -28,6 +28,16 @@ def stream_dedup(trades: DataFrame, horizon: str = DEDUP_HORIZON) -> DataFrame:
     )
 
 
+def stream_with_late(trades: DataFrame, horizon: str = DEDUP_HORIZON) -> DataFrame:
+    """``stream_dedup`` with all rows beside it, marked by ``late_candidate``; for ``repairing_writer``.
+
+    Spark drops what lies behind the watermark without a trace; the rows beside it let the sink find
+    these, and the incomplete ones. The messages are read twice per batch.
+    """
+    on_time = stream_dedup(trades, horizon).withColumn("late_candidate", F.lit(False))
+    return on_time.unionByName(trades.withColumn("late_candidate", F.lit(True)))
+
+
 def stream_minute_agg(trades: DataFrame, horizon: str = DEDUP_HORIZON) -> DataFrame:
     """Deduplicated trades to running minute totals; use output mode ``update``.
 

@@ -11,9 +11,11 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.items import prepare_candles, prepare_tickers, prepare_trades
-from ..operators.latest import latest_candle_minutes, latest_ticker_minutes
+from ..operators.dead_letters import dead_items, dead_messages
+from ..operators.items import ORIGIN, prepare_candles, prepare_tickers, prepare_trades
+from ..operators.latest import latest_candle_minutes, latest_ticker_minutes, newest_row
 from ..operators.merge import insert_new
+from ..operators.parse import first_update_event, parse_envelope
 from ..operators.quality import (
     CANDLE_REQUIRED,
     TICKER_REQUIRED,
@@ -25,6 +27,8 @@ from ..operators.retention import TRIM_AGE_MINUTES, trim_victims
 from ..operators.trades import dedup_trades, minute_trade_agg
 from ..schemas import (
     CANDLE_MINUTES,
+    DEAD_LETTER_KEYS,
+    DEAD_LETTERS,
     QUARANTINE,
     RAW_TRADES,
     TICKER_MINUTES,
@@ -32,8 +36,9 @@ from ..schemas import (
     TRADE_MINUTES,
     TableNames,
 )
-from ..sources.tables import HourlyTable, with_hour
-from .batch_tables import BatchTable, drop, hours_in, kept
+from ..sources.tables import HourlyTable, KeyedTable, with_hour
+from .aggregates import DEDUP_HORIZON
+from .batch_tables import BatchTable, hours_in, kept
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -64,41 +69,68 @@ class MarketTables:
     ticker_minutes: BatchTable
     candle_minutes: BatchTable
     quarantine: HourlyTable
+    dead_letters: HourlyTable
+    ticker_newest: BatchTable
+    candle_newest: BatchTable
 
     @classmethod
-    def of(cls, spark: SparkSession, names: TableNames) -> MarketTables:
+    def of(cls, spark: SparkSession, names: TableNames, folder: str | None = None) -> MarketTables:
+        """With a ``folder`` the tables lie there and are found again by a session with an empty catalog."""
+
+        def place(name: str) -> str | None:
+            return f"{folder.rstrip('/')}/{name}" if folder else None
+
         def hourly(name: str, columns: str, ts_col: str, *keys: str) -> HourlyTable:
-            return HourlyTable(spark, names.full(name), columns, ts_col, keys)
+            return HourlyTable(spark, names.full(name), columns, ts_col, keys, location=place(name))
 
         def snapshots(name: str, columns: str, ts_col: str) -> BatchTable:
             return BatchTable(hourly(name, columns, ts_col, "product_id", ts_col))
 
+        def newest(name: str, columns: str, ts_col: str) -> BatchTable:
+            return BatchTable(KeyedTable(spark, names.full(name), columns, ts_col, ("product_id",), location=place(name)))
+
         return cls(
             BatchTable(hourly(names.raw_trades, RAW_TRADES, "trade_time_utc", "trade_id")),
             snapshots(names.trade_minutes, TRADE_MINUTES, "trade_time_utc"),
             snapshots(names.ticker_minutes, TICKER_MINUTES, "ticker_ts_utc"),
             snapshots(names.candle_minutes, CANDLE_MINUTES, "candle_ts_utc"),
             hourly(names.quarantine, QUARANTINE, "quarantined_at_utc"),
+            hourly(names.dead_letters, DEAD_LETTERS, "record_ts_utc", *DEAD_LETTER_KEYS),
+            newest(names.ticker_newest, TICKER_MINUTES, "ticker_ts_utc"),
+            newest(names.candle_newest, CANDLE_MINUTES, "candle_ts_utc"),
         )
 
     def create(self) -> MarketTables:
-        self.raw_trades.create()
-        for table in (self.trade_minutes, self.ticker_minutes, self.candle_minutes):
+        for table in (*self.batch_tables(), *self.logs()):
             table.create()
-        self.quarantine.create()
         return self
 
+    def batch_tables(self) -> list[BatchTable]:
+        snapshots = [self.ticker_minutes, self.candle_minutes, self.ticker_newest, self.candle_newest]
+        return [self.raw_trades, self.trade_minutes, *snapshots]
+
     def final_tables(self) -> list[HourlyTable]:
         return [self.trade_minutes.table, self.ticker_minutes.table, self.candle_minutes.table]
 
     def logs(self) -> list[HourlyTable]:
         """Also hourly, usually kept longer than the final tables."""
-        return [self.quarantine]
+        return [self.quarantine, self.dead_letters]
 
     def prune_ledgers(self) -> None:
-        for table in (self.raw_trades, self.trade_minutes, self.ticker_minutes, self.candle_minutes):
+        for table in self.batch_tables():
             table.prune_ledger()
 
+    def vacuum(self, keep_minutes: int = 60) -> None:
+        """Delete the files of hours that have been replaced so long ago."""
+        for table in self.batch_tables():
+            table.vacuum(keep_minutes)
+
+    def recover(self) -> None:
+        """Complete what failed batches have staged."""
+        recover_trades(self)
+        for table in self.batch_tables()[2:]:
+            table.recover()
+
 
 def write_trades(trades: DataFrame, tables: MarketTables, source: str, batch_id: int) -> None:
     """New trades to the raw table, their measures added to the minute table, bad rows aside.
@@ -130,8 +162,12 @@ def write_trades(trades: DataFrame, tables: MarketTables, source: str, batch_id:
 
 
 def recover_trades(tables: MarketTables) -> None:
-    """Store the rows and totals that are staged; drop rows whose totals never were."""
+    """Store the rows and totals that are staged; drop rows whose totals never were.
+
+    A trim that failed is completed first: what it has staged leaves out rows that are stored later.
+    """
     minutes, raw = tables.trade_minutes, tables.raw_trades
+    raw.recover()
     arrived = {(a.source, a.batch_id): a for a in raw.pending(ARRIVED)}
     for staged in minutes.pending():
         rows = arrived.get((staged.source, staged.batch_id))
@@ -141,7 +177,7 @@ def recover_trades(tables: MarketTables) -> None:
             raw.table.append(insert_new(raw.table.slice(*_around(first, last)), new, raw.table.keys))
         minutes.apply(staged)
     for rows in arrived.values():
-        drop(rows.side)
+        raw.discard(rows)
 
 
 def _around(first: datetime, last: datetime) -> tuple[datetime, datetime]:
@@ -150,12 +186,116 @@ def _around(first: datetime, last: datetime) -> tuple[datetime, datetime]:
 
 def write_tickers(tickers: DataFrame, tables: MarketTables, source: str, batch_id: int) -> None:
     rows = latest_ticker_minutes(valid_rows(tickers, TICKER_REQUIRED, "message_ts_utc"))
-    tables.ticker_minutes.replace_keys(rows, "kafka_offset", source, batch_id)
+    write_snapshots(rows, tables.ticker_minutes, tables.ticker_newest, source, batch_id)
 
 
 def write_candles(candles: DataFrame, tables: MarketTables, source: str, batch_id: int) -> None:
     rows = latest_candle_minutes(valid_rows(candles, CANDLE_REQUIRED, "message_ts_utc"))
-    tables.candle_minutes.replace_keys(rows, "kafka_offset", source, batch_id)
+    write_snapshots(rows, tables.candle_minutes, tables.candle_newest, source, batch_id)
+
+
+def write_snapshots(
+    rows: DataFrame, minutes: BatchTable, newest: BatchTable | None, source: str, batch_id: int
+) -> None:
+    """Rows of a minute to the minute table, and the newest row of a product to the table of these."""
+    batch = kept(rows)
+    try:
+        minutes.replace_keys(batch, "kafka_offset", source, batch_id)
+        if newest is not None:
+            order = (newest.table.ts_col, "kafka_offset")
+
+            def merge(stored: DataFrame, new: DataFrame) -> DataFrame:
+                return newest_row(stored.unionByName(new), newest.table.keys, order)
+
+            newest.upsert(newest_row(batch, newest.table.keys, order), merge, source, batch_id)
+    finally:
+        batch.unpersist()
+
+
+def write_dead_letters(rows: DataFrame, tables: MarketTables, source: str, batch_id: int) -> None:
+    """Set rows of ``dead_messages`` and ``dead_items`` aside, each once however often this is repeated.
+
+    They lie in the hours of their records, so a retry, however late, looks there and nowhere else.
+    """
+    table = tables.dead_letters
+    stamps = {
+        "source": F.lit(source),
+        "batch_id": F.lit(batch_id).cast("bigint"),
+        "quarantined_at_utc": F.current_timestamp(),
+        "record_ts_utc": F.coalesce("record_ts_utc", F.lit(0).cast("timestamp")),
+        "topic": F.coalesce("topic", F.lit("")),
+        "partition": F.coalesce("partition", F.lit(0)),
+    }
+    bad = kept(table.labelled(rows.withColumns(stamps)))
+    try:
+        hours = hours_in(bad)
+        if hours:
+            known = table.in_hours(hours).where((F.col("source") == source) & (F.col("batch_id") == batch_id))
+            table.append(insert_new(known, bad.drop("event_hour"), table.keys))
+    finally:
+        bad.unpersist()
+
+
+def feed_writer(tables: MarketTables, source: str | None = None) -> BatchWriter:
+    """``foreachBatch`` function: Kafka rows to the three outputs, and all that is bad to the dead letters.
+
+    Unlike ``batch_writer`` it takes the messages before they are parsed, so nothing vanishes: a row is
+    stored, or superseded by a stored one, or a dead letter, or no update by the sender's own word.
+    """
+    write_updates = batch_writer(tables, source)
+
+    def process_batch(kafka_df: DataFrame, batch_id: int) -> None:
+        name = source_of(kafka_df, source)
+        parsed = kept(parse_envelope(kafka_df, keep_bad=True))
+        try:
+            updates = first_update_event(parsed)
+            bad = dead_messages(parsed).unionByName(dead_items(updates))
+            write_dead_letters(bad, tables, name, batch_id)
+            write_updates(updates, batch_id)
+        finally:
+            parsed.unpersist()
+
+    return process_batch
+
+
+def repairing_writer(
+    tables: MarketTables, horizon: str = DEDUP_HORIZON, source: str | None = None
+) -> BatchWriter:
+    """``foreachBatch`` function for ``stream_with_late``: late trades are added, none is counted twice.
+
+    Rows at or before the newest stored trade less the horizon may have been dropped by the stream. They go
+    with the others through ``write_trades``, which knows the stored ids: a late copy of a counted trade
+    changes nothing while the raw table still has the trade.
+    """
+
+    def process_batch(df: DataFrame, batch_id: int) -> None:
+        name = source_of(df, source)
+        batch = kept(df)
+        try:
+            batch.count()  # a stateful stream commits its state only when its whole output was consumed
+            recover_trades(tables)
+            behind = F.lit(False)
+            newest = newest_stored(tables.raw_trades.table)
+            if newest is not None:
+                behind = F.col("trade_time_utc") <= F.lit(newest) - F.expr(f"INTERVAL {horizon}")
+            every = batch.where("late_candidate")
+            late = valid_rows(every, TRADE_REQUIRED, "trade_time_utc").where(behind)
+            bad = quarantine_rows(every, TRADE_REQUIRED, "trade_time_utc").drop("missing")
+            rows = batch.where(~F.col("late_candidate")).unionByName(late).unionByName(bad)
+            write_trades(rows.drop("late_candidate"), tables, name, batch_id)
+        finally:
+            batch.unpersist()
+
+    return process_batch
+
+
+def newest_stored(table: HourlyTable) -> datetime | None:
+    """The greatest time in the table; reads the last hour that has rows."""
+    for hour in reversed(table.hours()):
+        (newest,) = table.in_hours([hour]).agg(F.max(table.ts_col)).first()
+        if newest is not None:
+            return newest
+    return None
 
 
 def batch_writer(tables: MarketTables, source: str | None = None) -> BatchWriter:
@@ -172,7 +312,8 @@ def batch_writer(tables: MarketTables, source: str | None = None) -> BatchWriter
 
     def process_batch(update_df: DataFrame, batch_id: int) -> None:
         name = source_of(update_df, source)
-        batch = kept(update_df.select("offset", "kafka_key", "message_ts_utc", "event"))
+        needed = ("offset", "kafka_key", *ORIGIN, "message_ts_utc", "event")
+        batch = kept(update_df.select(*(c for c in needed if c in update_df.columns)))
 
         @inheritable_thread_target(batch.sparkSession)
         def write(prepare, store) -> None:
@@ -199,11 +340,11 @@ def running_totals_writer(minutes: BatchTable, source: str | None = None) -> Bat
     )
 
 
-def snapshot_writer(snapshots: BatchTable, source: str | None = None) -> BatchWriter:
+def snapshot_writer(
+    snapshots: BatchTable, source: str | None = None, newest: BatchTable | None = None
+) -> BatchWriter:
     """``foreachBatch`` function for the latest-per-minute streams."""
-    return lambda df, batch_id: snapshots.replace_keys(
-        df, "kafka_offset", source_of(df, source), batch_id
-    )
+    return lambda df, batch_id: write_snapshots(df, snapshots, newest, source_of(df, source), batch_id)
 
 
 def archive_writer(path: str) -> BatchWriter:

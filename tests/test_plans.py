@@ -36,6 +36,10 @@ ACTING = {
         "fanout_contents",
         "replay_new_checkpoint",
         "replay_idempotent",
+        "trim_after_failure",
+        "reopened_tables",
+        "dead_letters",
+        "newest_rows",
         "hourly_partition_counts",
         "retention_partitions",
     )

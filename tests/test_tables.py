@@ -137,7 +137,7 @@ def test_retry_after_failure_counts_once(spark, totals, monkeypatch, broken):
 
 
 def test_retry_after_lost_ledger_entry_counts_once(spark, totals, monkeypatch):
-    def fail(*_):
+    def fail(*_, **__):
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as patch:
