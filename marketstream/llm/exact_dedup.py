@@ -195,6 +195,8 @@ def duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     groups = shared.groupBy("level", "name").agg(
         F.count("*").alias("group_size"), F.max(F.struct("doc_id", "row")).alias("last")
     )
+    # Written, so that the join deals both sides itself and can split a group that holds very many rows.
+    groups = stored(groups, "groups")
     joined = shared.join(groups, ["level", "name"]).select(
         "doc_id",
         F.col("last.doc_id").alias("keep_id"),
