@@ -31,6 +31,11 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, whatever their names."""
+    return F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in df.columns))
+
+
 def texts_as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null becomes empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, whole_row
 
 SHINGLE_WORDS, SIMILARITY, RADIUS = 5, 0.8, 20
 #: Items that one pass over the documents looks for: bounds what is sent to the tasks.
@@ -182,5 +182,5 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY,
 
 def without_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no item."""
-    looked = with_hits(docs.select(F.struct(*docs.columns).alias("_row"), "text"), benchmark)
+    looked = with_hits(docs.select(whole_row(docs).alias("_row"), "text"), benchmark)
     return looked.filter(F.size("hits") == 0).select("_row.*")

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lowered, small_batches, stored, texts_as_bytes
+from .common import lowered, small_batches, stored, texts_as_bytes, whole_row
 
 BLOCK_BYTES = 2048
 #: Names of one sorted partition lie in a range of their own of so many bits.
@@ -221,7 +221,7 @@ def keep_last(docs: DataFrame) -> DataFrame:
     """
     kept = duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
     marked = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"),
+        whole_row(docs).alias("whole"),
         F.sha2(lowered(F.coalesce("text", F.lit(""))).cast("binary"), 256).alias("sha"),
     )
     same = F.col("whole.doc_id").eqNullSafe(F.col("kept_id")) & (F.col("sha") == F.col("kept_sha"))

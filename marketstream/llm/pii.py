@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, whole_row
 
 #: The patterns and their order. Possessive quantifiers and the look-behind change no
 #: match; they keep long runs of characters linear.
@@ -303,7 +303,7 @@ def sanitise(docs: DataFrame, rule: Disclosure | None = None) -> DataFrame:
     rule = rule or Disclosure()
     slim = docs.select("doc_id", "text")
     linked = _linked(slim, _with_found(slim, rule), rule)
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), "text", _text_key(F.col("text")).alias("text_key"))
+    keyed = docs.select(whole_row(docs).alias("row"), "text", _text_key(F.col("text")).alias("text_key"))
     both = keyed.join(linked, "text_key", "left")
     label = lambda s: F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
     base = F.transform(base_spans(F.col("text")), lambda s: F.struct(*(s[c].alias(c) for c in SPAN), label(s).alias("label")))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed_sample, small_batches, texts_as_bytes
+from .common import hashed_sample, small_batches, texts_as_bytes, whole_row
 
 HASHED, RATIOS = 2048, 8
 WIDTH = HASHED + RATIOS
@@ -169,5 +169,5 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def select(docs: DataFrame, model: Model, least_tail: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose probability of a better than the lowest grade is high enough."""
-    graded = score(docs.select(F.struct(*docs.columns).alias("_row"), "text"), model)
+    graded = score(docs.select(whole_row(docs).alias("_row"), "text"), model)
     return graded.filter(F.col("tail") >= least_tail).select("_row.*")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import WORD, stored
+from .common import WORD, stored, whole_row
 
 #: A cell of equal source and size class is cut into so many hashed parts, or one more for every
 #: ``PART_ROWS`` documents of the input: no part holds more than about that many.
@@ -91,16 +91,18 @@ def with_copies(docs: DataFrame, mixture: Mixture | None = None) -> DataFrame:
     """The columns of ``docs`` plus ``mix_size``, ``mix_source_size``, ``mix_target``, ``mix_copies``.
 
     The size of a document is its number of words, 0 for null or empty text. A null source is a
-    source of its own, last in order; an empty string is a source too. Repeated rows each count. The
-    order of ties does not change the set of results, and a rerun gives the same one. Columns of
-    ``docs`` whose names start with ``mix_`` are replaced. Text is shuffled only if it is asked for.
+    source of its own, last in order; an empty string is a source too. Repeated rows each count. Rows
+    without id are placed by their text, and so are those that share one: a rerun takes the same texts.
+    Columns of ``docs`` whose names start with ``mix_`` are replaced. Text is shuffled only if it is asked for.
     """
     mixture = mixture or Mixture()
     docs = docs.drop(*(c for c in docs.columns if c.startswith("mix_")))
     key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
-    order = F.md5(F.concat_ws(":", F.lit(mixture.seed), F.col("doc_id").cast("string")).cast("binary"))
+    tie = F.xxhash64("text")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), tie.cast("string")))
+    order = F.md5(F.concat_ws(":", F.lit(mixture.seed), name).cast("binary"))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sized = docs.withColumns({"mix_key": key, "mix_size": size, "mix_order": order})
+    sized = docs.withColumns({"mix_key": key, "mix_size": size, "mix_order": order, "mix_tie": tie})
     cell = ["mix_key", "mix_class", "mix_part"]
     slim = stored(sized.select("mix_key", "mix_size", "mix_order"), "sizes")
     parts = max(LEAST_PARTS, -(-slim.count() // PART_ROWS))
@@ -123,18 +125,18 @@ def with_copies(docs: DataFrame, mixture: Mixture | None = None) -> DataFrame:
         *cell, (F.col("before") + F.col("inner")).alias("mix_before"), "mix_source_size", "mix_target"
     )
 
-    place = F.row_number().over(W.partitionBy(*cell).orderBy("mix_order", "mix_size"))
+    place = F.row_number().over(W.partitionBy(*cell).orderBy("mix_order", "mix_size", "mix_tie"))
     ranked = placed(sized).withColumn("mix_place", place).join(starts, cell)
     expected = F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")).otherwise(0.0)
     upto = F.col("mix_before") + F.col("mix_place")
     crossed = F.floor(upto * expected + mixture.offset) - F.floor((upto - 1) * expected + mixture.offset)
     copies = F.least(crossed, F.lit(mixture.most_copies)).cast("long")
-    return ranked.withColumn("mix_copies", copies).drop(*cell, "mix_order", "mix_place", "mix_before")
+    return ranked.withColumn("mix_copies", copies).drop(*cell, "mix_order", "mix_tie", "mix_place", "mix_before")
 
 
 def mixed(docs: DataFrame, mixture: Mixture | None = None) -> DataFrame:
-    """The columns of ``docs``, each row as often as it is taken."""
-    counted = with_copies(docs, mixture).filter("mix_copies > 0")
-    return counted.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).select(
-        *(c for c in docs.columns if not c.startswith("mix_"))
-    )
+    """The columns of ``docs``, whatever their names, each row as often as it is taken."""
+    rows = docs.select(whole_row(docs).alias("row"), "doc_id", "source", "text")
+    counted = with_copies(rows, mixture).filter("mix_copies > 0")
+    copies = F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))
+    return counted.select("row", copies.alias("mix_copy")).select("row.*")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import small_batches, stored, texts_as_bytes, words_of
+from .common import small_batches, stored, texts_as_bytes, whole_row, words_of
 
 PREFIX, WINDOW = 26, 25
 LENGTH = PREFIX + WINDOW - 1
@@ -232,6 +232,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             [t if t is None or not s else cut_words(t, [tuple(x.values()) for x in s]) for t, s in pairs], pa.string()
         )
 
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text", _doc().alias("doc")).join(spans, "doc", "left")
+    rows = docs.select(whole_row(docs).alias("row"), "text", _doc().alias("doc")).join(spans, "doc", "left")
     changed = F.when(F.col("spans").isNotNull(), F.arrow_udf(cut, "string")("text", "spans")).otherwise(F.col("text"))
     return rows.select(F.col("row").withField("text", changed).alias("row")).select("row.*")

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from helpers import docs_table, sentences, with_extras
+from pyspark.sql import functions as F
 
 from marketstream.llm import source_mixing as mixing
 
@@ -81,3 +82,19 @@ def test_mixed_rows_and_empty_table(spark):
 def test_plan_has_no_python(spark):
     plan = mixing.mixed(docs_table(spark, [(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_without_id_are_taken_alike_however_they_are_dealt(spark):
+    rows = [(None, f"w{i} a b c") for i in range(3000)]
+    one, two = (mixing.mixed(docs_table(spark, rows, source=lambda i: "s").repartition(n)) for n in (2, 7))
+    counts = [Counter(r.text for r in d.collect()) for d in (one, two)]
+    assert counts[0] == counts[1] and set(counts[0].values()) == {1, 2}
+    parts = mixing.with_copies(docs_table(spark, rows, source=lambda i: "s"))
+    assert parts.count() == 3000
+
+
+def test_columns_of_any_name_are_kept(spark):
+    docs = docs_table(spark, [(i, "a b c") for i in range(20)]).withColumn("mix_size", F.lit("mine")).withColumn("a.b", F.lit(1))
+    taken = mixing.mixed(docs)
+    assert taken.columns == docs.columns
+    assert {r.mix_size for r in taken.collect()} == {"mine"}
