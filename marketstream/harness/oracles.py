@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
+
+from .feed import PRODUCTS
+
 _FEED = """
 feed AS (
   SELECT event_id AS "offset", CAST(event_id AS VARCHAR) AS trade_id,
@@ -233,6 +237,16 @@ SELECT 'market.' || channel AS topic, CAST(count(*) AS BIGINT) AS n_messages
 FROM copies CROSS JOIN channels GROUP BY 1""",
             _FEED, _COPIES, _CHANNELS,
         ),
+        "feed_contents": _sql(
+            """
+SELECT product_id AS key, 'market.' || channel AS topic,
+       CASE product_id WHEN 'BTC-USD' THEN {0} WHEN 'ETH-USD' THEN {1} WHEN 'LINK-USD' THEN {2} ELSE {3} END AS partition,
+       "offset" * 2 + copy AS "offset", ts AS record_time,
+       '"channel":"' || channel || '","timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '000Z","sequence_num":'
+         || "offset" AS said
+FROM copies CROSS JOIN channels""".format(*(zlib.crc32(p.encode()) % 3 for p in PRODUCTS)),
+            _FEED, _COPIES, _CHANNELS,
+        ),
         "replay_range": _sql(
             """
 SELECT product_id AS key, trade_id || '|' || side AS value, 'market.' || event_type AS topic,
@@ -515,6 +529,13 @@ FROM trades WHERE "offset" % 97 = 5""",
             _FEED, _TRADES,
         ),
         "stream_late_repaired": minutes,
+        # Watermarks are cut to milliseconds; an id expires ten minutes after its trade.
+        "stream_state": _sql(
+            """
+SELECT trade_id, ts + INTERVAL '10 minutes' AS expires_utc FROM feed, now_
+WHERE ts + INTERVAL '10 minutes' > date_trunc('millisecond', as_of) - INTERVAL '10 minutes'""",
+            _FEED, _NOW,
+        ),
         "trim_after_failure": _sql(
             """
 SELECT m.product_id, m.trade_time_utc, m.trade_count, round(m.total_volume, 4) AS total_volume,

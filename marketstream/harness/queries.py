@@ -39,10 +39,16 @@ from ..schemas import (
     TRADE_MINUTES,
     TableNames,
 )
-from ..sources.feed import filter_products, read_archive_stream, replay_range, route_feed
+from ..sources.feed import (
+    filter_products,
+    read_archive_stream,
+    replay_projection,
+    replay_range,
+    route_feed,
+)
 from ..sources.shared import shared_database, shared_dir
 from ..sources.tables import HourlyTable
-from ..streaming import aggregates, sinks
+from ..streaming import aggregates, audit, sinks
 from ..streaming.batch_tables import kept
 from ..streaming.runner import LateRows, configure_streaming, drain
 from . import feed as f
@@ -125,6 +131,19 @@ def feed_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.groupBy("topic").agg(F.sum("n").alias("n_messages"))
 
 
+@_query
+def feed_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages themselves as the stream brings them: key, topic, place, time, and what the text says."""
+    configure_streaming(spark)
+    out = shared_dir(spark, "feed_contents")
+    wire = replay_projection(f.wire_rows(f.feed_stream(spark, sf_dir)))
+    drain(wire, sinks.archive_writer(f"{out}/rows"), f"{out}/checkpoint")
+    rows = sinks.read_archive(spark, f"{out}/rows", wire.schema)
+    said = F.regexp_extract("value", '"channel":"([^"]*)","timestamp":"([^"]*)","sequence_num":([0-9]+)', 0)
+    rows = rows.select("key", "topic", "partition", "offset", F.col("timestamp").alias("record_time"), said.alias("said"))
+    return _out(rows)
+
+
 @_query
 def replay_range_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = f.feed(spark, sf_dir).select(
@@ -876,6 +895,16 @@ def stream_wrong_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(kept_rows.unionByName(aside))
 
 
+@_query
+def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids that a drained stream still remembers, from its checkpoint."""
+    configure_streaming(spark)
+    out, log = shared_dir(spark, "stream_state"), _whole_log(spark, sf_dir, "stream_state")
+    trades = aggregates.stream_dedup(prepare_trades(_item_stream(spark, sf_dir, log, "market_trades")))
+    drain(trades, sinks.archive_writer(f"{out}/trades"), f"{out}/checkpoint")
+    return _out(audit.remembered_ids(spark, f"{out}/checkpoint"))
+
+
 @_query
 def stream_late_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A seventh of the trades far behind the watermark, and late copies of others: totals of all, each once."""

@@ -93,6 +93,20 @@ class HourlyTable:
         rows = self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()
         return sorted(row[0].split("=", 1)[1] for row in rows)
 
+    def oldest_hours(self, until: Moment, limit: int) -> list[str]:
+        """The oldest hours that hold ``limit`` rows, up to the hour of ``until``.
+
+        Rows are counted from the file footers; no column is read.
+        """
+        counts = self.read().where(F.col(self.partition) <= hour_label(moment(until))).groupBy(self.partition).count()
+        picked, rows = [], 0
+        for hour, n in counts.orderBy(self.partition).collect():
+            if rows >= limit:
+                break
+            picked.append(hour)
+            rows += n
+        return picked
+
     def append(self, df: DataFrame, by_hour: bool = True) -> None:
         """Append; ``by_hour=False`` writes the partitions of ``df`` as they are."""
         rows = self._by_hour(df) if by_hour else self._shaped(df)

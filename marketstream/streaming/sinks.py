@@ -11,6 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import moment
 from ..operators.dead_letters import dead_items, dead_messages
 from ..operators.items import ORIGIN, prepare_candles, prepare_tickers, prepare_trades
 from ..operators.latest import latest_candle_minutes, latest_ticker_minutes, newest_row
@@ -365,13 +366,18 @@ def trim_raw_trades(
 ) -> None:
     """Delete expired raw trades, the oldest ``limit`` if one is given.
 
-    Only the hours that hold them are rewritten; hours left without rows are dropped. A run that
-    failed is completed by the next one, or repeated with the same ``run_id``.
+    With a limit only the hours that hold the oldest rows are read, by the counts of their files. Only the
+    hours of the victims are rewritten; hours left without rows are dropped. A run that failed is
+    completed by the next one, or repeated with the same ``run_id``.
     """
     raw.recover()
     if raw.is_applied("trim", run_id):
         return
-    victims = trim_victims(raw.read(), as_of, age_minutes=age_minutes, limit=limit)
+    rows = raw.read()
+    if limit is not None:
+        cutoff = moment(as_of) - F.make_interval(mins=F.lit(age_minutes))
+        rows = raw.table.in_hours(raw.table.oldest_hours(cutoff, limit))
+    victims = trim_victims(rows, as_of, age_minutes=age_minutes, limit=limit)
     victims = kept(with_hour(victims, raw.table.ts_col))
     try:
         touched = hours_in(victims)

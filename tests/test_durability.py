@@ -17,6 +17,7 @@ from marketstream.sources.shared import shared_database, shared_dir
 from marketstream.sources.tables import HourlyTable
 from marketstream.streaming import sinks
 from marketstream.streaming.batch_tables import BatchTable
+from marketstream.streaming.runner import start
 
 START = utc("2024-01-01T00:00:00")
 
@@ -222,3 +223,36 @@ def test_a_time_after_its_record_is_wrong_even_in_a_replay(spark, market):
     sinks.write_trades(rows, market, "live", 0)
     assert state(market) == (["1", "3"], 2)
     assert [r["missing"] for r in market.quarantine.read().collect()] == ["future"]
+
+
+def test_a_limited_trim_reads_the_oldest_hours_only(spark, market, monkeypatch):
+    rows = [(f"{h}-{i}", 60 * h + i) for h in range(5) for i in range(4)]
+    sinks.write_trades(trades(spark, *rows), market, "live", 0)
+    raw, read = market.raw_trades, []
+    in_hours = HourlyTable.in_hours
+
+    def noted(self, hours):
+        read.append(sorted(hours))
+        return in_hours(self, hours)
+
+    monkeypatch.setattr(HourlyTable, "in_hours", noted)
+    sinks.trim_raw_trades(raw, 1, START + timedelta(hours=9), limit=6)
+    monkeypatch.undo()
+    assert read == [["20240101_00", "20240101_01"]] * 2
+    assert state(market)[0] == sorted(name for name, minute in rows if minute >= 62)
+
+
+def test_trigger_by_processing_time(spark, market):
+    log = shared_dir(spark, "log")
+    rows = trades(spark, ("1", 0), ("2", 1))
+    rows.coalesce(1).write.parquet(log)
+    stream = spark.readStream.schema(rows.schema).parquet(log)
+    query = start(stream, lambda df, n: sinks.write_trades(df, market, "live", n), shared_dir(spark, "c"), processing_time="1 second")
+    try:
+        query.processAllAvailable()
+        assert state(market) == (["1", "2"], 2)
+        trades(spark, ("3", 2)).coalesce(1).write.mode("append").parquet(log)
+        query.processAllAvailable()
+        assert state(market) == (["1", "2", "3"], 3)
+    finally:
+        query.stop()

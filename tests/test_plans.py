@@ -32,6 +32,7 @@ ACTING = {
     or name
     in (
         "feed_source",
+        "feed_contents",
         "fanout_counts",
         "fanout_contents",
         "replay_new_checkpoint",
