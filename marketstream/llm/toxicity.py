@@ -5,6 +5,10 @@ surroundings in toxic documents and hardly elsewhere marks its tokens there. On
 fitted; its features are hashes of the word, its beginnings and its endings, so unseen forms of a
 stem are found as well. Forward-backward gives the probability of each token to be toxic; a document
 is scored by the largest and the sum of these, and spans are runs of likely tokens.
+
+The sampled documents are learned whole. Their tokens stay in Spark: counts that label tokens, and the
+summaries on which scores are calibrated, are made in tasks. The driver gets counts of marking features,
+a bounded number of windows of forty words, and two numbers per document.
 """
 
 from __future__ import annotations
@@ -16,16 +20,18 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed_sample, small_batches, texts_as_bytes, words_of
+from .common import hashed_sample, small_batches, stored, texts_as_bytes, words_of
 
-BUCKETS = 1 << 20
+BUCKETS = 1 << 22
 #: Which features may label a token: the word and its two longer beginnings.
 LABELLING, FEATURES = 3, 6
 WINDOW = 40
 CACHED_WORDS = 400_000
+#: Words that one row carries of a text; a longer text has several rows.
+SEGMENT = 20_000
 _EDGE = b".,;:!?\"'()[]{}*$%&#|<>-_"
 
 
@@ -38,14 +44,14 @@ def word_features(word: bytes) -> list[int]:
 
 @dataclass(frozen=True)
 class Training:
-    """Bounds of the sample of labelled rows: ``documents`` rows of at most ``words`` words each.
+    """Bounds of the sample: ``documents`` labelled rows, whole, and ``windows`` of 40 words to fit on.
 
     ``evidence``: bits by which a feature's toxic surroundings must exceed chance to label tokens;
     ``purity``: share of its occurrences that must be in toxic documents.
     """
 
-    documents: int = 4000
-    words: int = 1000
+    documents: int = 6000
+    windows: int = 80_000
     evidence: float = 18.0
     purity: float = 0.9
     epochs: int = 6
@@ -133,51 +139,166 @@ def _summary(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return rows
 
 
-def label_tokens(tokens: np.ndarray, doc: np.ndarray, toxic: np.ndarray, training: Training) -> np.ndarray:
-    """1 for tokens of toxic documents with a labelling feature that marks toxic documents.
+def _tokens(packed: bytes) -> np.ndarray:
+    """A row of features per word."""
+    return np.frombuffer(packed, np.uint32).reshape(-1, FEATURES)
+
+
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[bytes, list[int]] = {}
+    for batch in batches:
+        texts = texts_as_bytes(batch.column("text"))
+        for doc, toxic, text in zip(batch.column("doc").to_pylist(), batch.column("toxic").to_pylist(), texts, strict=True):
+            words = words_of(text)
+            for part, start in enumerate(range(0, len(words) or 1, SEGMENT)):
+                rows = []
+                for word in words[start : start + SEGMENT]:
+                    if word not in known:
+                        if len(known) >= CACHED_WORDS // 4:
+                            known.clear()
+                        known[word] = word_features(word)
+                    rows.append(known[word])
+                packed = np.array(rows, np.uint32).tobytes()
+                columns = [pa.array([doc], pa.string()), pa.array([part], pa.int32()), pa.array([toxic], pa.int32()), pa.array([packed], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "part", "toxic", "tokens"])
+
+
+def _places(found: list[tuple[int, np.ndarray]]) -> tuple[pa.Array, pa.Array]:
+    places = np.concatenate([np.full(len(ids), place, np.int32) for place, ids in found])
+    return pa.array(places), pa.array(np.concatenate([ids for _, ids in found]).astype(np.int32))
+
+
+def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which labelling features occur in which document."""
+    for batch in batches:
+        for doc, toxic, packed in zip(*(batch.column(c).to_pylist() for c in ("doc", "toxic", "tokens")), strict=True):
+            tokens = _tokens(packed)
+            place, ids = _places([(p, np.unique(tokens[:, p])) for p in range(LABELLING)])
+            yield pa.RecordBatch.from_arrays(
+                [place, ids, pa.array([doc] * len(ids), pa.string()), pa.array(np.full(len(ids), toxic, np.int32))],
+                ["place", "id", "doc", "toxic"],
+            )
+
+
+def _surroundings(wanted: list[np.ndarray]):
+    """The words before the wanted features in toxic documents."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for toxic, packed in zip(*(batch.column(c).to_pylist() for c in ("toxic", "tokens")), strict=True):
+                tokens = _tokens(packed).astype(np.int64)
+                if not toxic or not len(tokens):
+                    continue
+                before = np.concatenate([[BUCKETS], tokens[:-1, 0]])
+                pairs = []
+                for place in range(LABELLING):
+                    here = np.isin(tokens[:, place], wanted[place])
+                    pairs.append((place, np.unique(tokens[here, place] * (BUCKETS + 1) + before[here])))
+                place, _ = _places([(p, both // (BUCKETS + 1)) for p, both in pairs])
+                both = np.concatenate([both for _, both in pairs])
+                yield pa.RecordBatch.from_arrays(
+                    [place, pa.array((both // (BUCKETS + 1)).astype(np.int32)), pa.array((both % (BUCKETS + 1)).astype(np.int32))],
+                    ["place", "id", "before"],
+                )
+
+    return look
+
+
+def marking_features(sample: DataFrame, training: Training) -> list[np.ndarray]:
+    """Per place the features that mark toxic documents; ``sample`` has a row of features per word.
 
-    ``tokens`` has a row of features per token, ``doc`` its document, ``toxic`` a flag per document.
     Toxic occurrences count once per document and once per preceding word, whichever is less, so
     neither a long document nor copies of one weigh much.
     """
+    seen = sample.mapInArrow(_seen, "place int, id int, doc string, toxic int").distinct()
+    counts = seen.groupBy("place", "id").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("docs"))
+    counts = stored(counts, "feature-counts")
+    bits = [0.0] * LABELLING
+    for place, toxic, docs in counts.groupBy("place").agg(F.sum("toxic"), F.sum("docs")).collect():
+        bits[place] = -np.log2(max(1e-3, 1 - (docs - toxic) / max(1, docs)))
+    bit = F.element_at(F.array(*map(F.lit, bits)), F.col("place") + 1)
+
+    def marks(there: str) -> Column:
+        clean = F.col("docs") - F.col("toxic")
+        return (F.col(there) * bit >= training.evidence) & (F.col(there) >= training.purity * (F.col(there) + clean))
+
+    likely = counts.filter(marks("toxic"))
+    wanted: list[list[int]] = [[] for _ in range(LABELLING)]
+    for place, number in likely.select("place", "id").collect():
+        wanted[place].append(number)
+    found = sample.mapInArrow(_surroundings([np.array(w, np.int64) for w in wanted]), "place int, id int, before int")
+    contexts = found.distinct().groupBy("place", "id").agg(F.count("*").alias("contexts"))
+    both = likely.join(contexts, ["place", "id"]).withColumn("there", F.least("contexts", "toxic"))
+    out: list[list[int]] = [[] for _ in range(LABELLING)]
+    for place, number in both.filter(marks("there")).select("place", "id").collect():
+        out[place].append(number)
+    return [np.array(sorted(ids), np.int64) for ids in out]
+
+
+def label_tokens(tokens: np.ndarray, toxic: int, marks: list[np.ndarray]) -> np.ndarray:
+    """1 for the tokens of a toxic document that have a marking feature."""
     labels = np.zeros(len(tokens), np.int8)
-    in_toxic = toxic[doc].astype(bool)
-    before = np.roll(tokens[:, 0], 1)
-    before[np.flatnonzero(np.diff(doc, prepend=-1))] = BUCKETS
-    for column in range(LABELLING):
-        ids = tokens[:, column].astype(np.int64)
-        contexts = np.unique(ids[in_toxic] * (BUCKETS + 1) + before[in_toxic]) // (BUCKETS + 1)
-        toxic_docs = np.unique(ids[in_toxic] * (1 << 20) + doc[in_toxic]) >> 20
-        there = np.minimum(np.bincount(contexts, minlength=BUCKETS), np.bincount(toxic_docs, minlength=BUCKETS))
-        others = np.unique(ids[~in_toxic] * (1 << 20) + doc[~in_toxic]) >> 20
-        elsewhere = np.bincount(others, minlength=BUCKETS)
-        every = np.unique(ids * (1 << 20) + doc) >> 20
-        chance = max(1e-3, 1 - len(others) / max(1, len(every)))
-        marks = (there * -np.log2(chance) >= training.evidence) & (there >= training.purity * (there + elsewhere))
-        labels |= (marks[ids] & in_toxic).astype(np.int8)
+    if toxic:
+        for place, ids in enumerate(marks):
+            labels |= np.isin(tokens[:, place], ids)
     return labels
 
 
-def fit_field(tokens: np.ndarray, doc: np.ndarray, labels: np.ndarray, training: Training) -> Field:
-    """Likelihood ascent over windows: around every toxic token, and as many at random."""
+def _counted(marks: list[np.ndarray]):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = total = 0
+        for batch in batches:
+            for toxic, packed in zip(*(batch.column(c).to_pylist() for c in ("toxic", "tokens")), strict=True):
+                tokens = _tokens(packed)
+                marked, total = marked + int(label_tokens(tokens, toxic, marks).sum()), total + len(tokens)
+        yield pa.RecordBatch.from_arrays([pa.array([marked]), pa.array([total])], ["marked", "total"])
+
+    return count
+
+
+def _windows(marks: list[np.ndarray], marked_rate: float, random_rate: float, seed: int):
+    """Windows around marked tokens, and around as many others as the rate gives."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("doc", "part", "toxic", "tokens")), strict=True)
+            for doc, part, toxic, packed in rows:
+                tokens = _tokens(packed)
+                if not len(tokens):
+                    continue
+                random = np.random.default_rng([seed, xxhash.xxh64_intdigest(doc), part])
+                labels = label_tokens(tokens, toxic, marks)
+                marked = np.flatnonzero(labels)
+                marked = marked[random.random(len(marked)) < marked_rate]
+                others = random.integers(0, len(tokens), random.binomial(len(tokens), random_rate))
+                middles = np.concatenate([marked, others])
+                size = min(WINDOW, len(tokens))
+                starts = np.clip(middles - WINDOW // 2, 0, len(tokens) - size)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([tokens[s : s + size].tobytes() for s in starts], pa.binary()),
+                        pa.array([labels[s : s + size].tobytes() for s in starts], pa.binary()),
+                    ],
+                    ["tokens", "labels"],
+                )
+
+    return cut
+
+
+def fit_field(tokens: np.ndarray, labels: np.ndarray, lengths: np.ndarray, training: Training) -> Field:
+    """Likelihood ascent over windows that lie one after another in ``tokens`` and ``labels``."""
     random = np.random.default_rng(training.seed)
-    marked = np.flatnonzero(labels)
     model = Field()
-    if not len(marked) or len(tokens) < 2:
+    if not labels.any() or len(tokens) < 2:
         return model
-    middles = np.concatenate([marked, random.integers(0, len(tokens), 3 * len(marked) + 12_000)])
-    at = np.clip(middles[:, None] + np.arange(-WINDOW // 2, WINDOW // 2), 0, len(tokens) - 1)
-    inside = doc[at] == doc[middles][:, None]
-    first = inside.argmax(axis=1)
-    at = np.minimum(at[np.arange(len(at)), first][:, None] + np.arange(WINDOW), len(tokens) - 1)
-    lengths = (doc[at] == doc[middles][:, None]).cumprod(axis=1).sum(axis=1)
+    starts = np.cumsum(lengths) - lengths
     weights, squares = np.zeros(BUCKETS), np.full(BUCKETS, 1e-6)
     bias, moves, moves_squares = -4.0, np.zeros((2, 2)), np.full((2, 2), 1e-6)
     bias_square = 1e-6
     for _ in range(training.epochs):
-        for rows in np.array_split(random.permutation(len(at)), max(1, len(at) // 256)):
+        for rows in np.array_split(random.permutation(len(lengths)), max(1, len(lengths) // 256)):
             use = np.arange(WINDOW) < lengths[rows][:, None]
-            flat, size = at[rows][use], lengths[rows]
+            flat, size = (starts[rows][:, None] + np.arange(WINDOW))[use], lengths[rows]
             scores = bias + weights[tokens[flat]].sum(axis=1)
             forward, p = forward_backward(scores, size, moves)
             gap = labels[flat] - p
@@ -217,44 +338,53 @@ def pair_gaps(forward, p, labels, lengths, moves) -> np.ndarray:
     return seen.reshape(2, 2) - expected_pairs(forward, p, lengths, moves).sum(axis=2)
 
 
-def calibrate(summary: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float]:
-    """Logistic regression of the document label on the summary, by Newton steps."""
+def calibrate(summary: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
+    """Weighted logistic regression of the document label on the summary, by Newton steps."""
     x = np.column_stack([np.ones(len(summary)), summary])
     w = np.zeros(3)
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(3)
-        w += np.linalg.solve(hessian, x.T @ (toxic - p) - 0.1 * w)
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(3)
+        w += np.linalg.solve(hessian, x.T @ (weight * (toxic - p)) - 0.1 * w)
     return tuple(float(v) for v in w)
 
 
-def _extracted(training: Training):
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _summed(model: Field):
+    """Largest and summed probability of the words of each row."""
+    keys = np.array(sorted(model.weights), np.int64)
+    values = np.array([model.weights[k] for k in keys.tolist()])
+    bias, transitions = model.bias, model.transitions
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = []
-            for text in texts_as_bytes(batch.column("text")):
-                words = words_of(text)
-                spare = max(0, len(words) - training.words)
-                start = xxhash.xxh64_intdigest(text) % (spare + 1)
-                rows = [word_features(w) for w in words[start : start + training.words]]
-                packed.append(np.array(rows, np.uint32).tobytes())
+            tops, sums = [], []
+            for packed in batch.column("tokens").to_pylist():
+                tokens = _tokens(packed)
+                scores = np.full(len(tokens), bias)
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, tokens), len(keys) - 1)
+                    scores += np.where(keys[at] == tokens, values[at], 0.0).sum(axis=1)
+                p = marginals(scores, np.array([len(tokens)]), transitions)
+                tops.append(float(p.max(initial=0.0)))
+                sums.append(float(p.sum()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic").cast(pa.int32()), pa.array(packed, pa.binary())], ["toxic", "tokens"]
+                [batch.column("doc"), batch.column("toxic"), pa.array(tops, pa.float64()), pa.array(sums, pa.float64())],
+                ["doc", "toxic", "top", "total"],
             )
 
-    return extract
+    return summarise
 
 
 def train(docs: DataFrame, labels: DataFrame, training: Training | None = None) -> Field:
     """Fit on ``labels(doc_id, toxic)``; rows without id or label are left out.
 
     Half of the sample are toxic rows, if there are so many. The chosen ids are ``documents`` at most
-    and are sent to every task, so no text is shuffled; features of the sample reach the driver.
+    and are sent to every task. Of rows that share a chosen id, the least text is learned.
     """
     training = training or Training()
     small_batches(docs.sparkSession)
     rated = labels.select("doc_id", "toxic").filter("doc_id is not null and toxic is not null")
-    rated = rated.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    rated = rated.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     sizes = {r.toxic: r["count"] for r in rated.groupBy("toxic").count().collect()}
     chosen = None
     for value, size in sorted(sizes.items()):
@@ -264,24 +394,34 @@ def train(docs: DataFrame, labels: DataFrame, training: Training | None = None)
         chosen = part if chosen is None else chosen.unionByName(part)
     if chosen is None:
         return Field()
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
-    table = rows.mapInArrow(_extracted(training), "toxic int, tokens binary").toArrow()
-    toxic, packed = table.column("toxic").to_numpy(), table.column("tokens").to_pylist()
-    order = sorted(range(len(packed)), key=lambda i: (packed[i], toxic[i]))  # the same fit on every run
-    toxic = (toxic[order] > 0).astype(np.int8)
-    lengths = np.array([len(packed[i]) // (4 * FEATURES) for i in order], np.int64)
-    tokens = np.frombuffer(b"".join(packed[i] for i in order), np.uint32).reshape(-1, FEATURES)
-    if not len(tokens):
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy(F.col("doc_id").cast("string").alias("doc"), "toxic").agg(F.min("text").alias("text"))
+    rows = rows.repartition(docs.sparkSession.sparkContext.defaultParallelism, "doc")
+    sample = stored(rows.mapInArrow(_featured, "doc string, part int, toxic int, tokens binary"), "toxic-sample")
+    marks = marking_features(sample, training)
+    marked, total = sample.mapInArrow(_counted(marks), "marked long, total long").agg(F.sum("marked"), F.sum("total")).first()
+    if not total:
         return Field()
-    doc = np.repeat(np.arange(len(order)), lengths)
-    model = fit_field(tokens, doc, label_tokens(tokens, doc, toxic, training), training)
-    lookup = np.zeros(BUCKETS)
-    lookup[list(model.weights)] = list(model.weights.values())
-    scores = np.full(len(tokens), model.bias)
-    for column in tokens.T:
-        scores += lookup[column]
-    values = marginals(scores, lengths, model.transitions)
-    model.calibration = calibrate(_summary(values, lengths), toxic)
+    wanted = 4 * marked + 12_000
+    share = min(1.0, training.windows / wanted)
+    cut = _windows(marks, share, min(1.0, share * (3 * marked + 12_000) / total), training.seed)
+    table = sample.mapInArrow(cut, "tokens binary, labels binary").toArrow()
+    pairs = sorted(zip(table.column("tokens").to_pylist(), table.column("labels").to_pylist(), strict=True))
+    del table
+    lengths = np.array([len(tags) for _, tags in pairs], np.int64)
+    tokens = _tokens(b"".join(t for t, _ in pairs))
+    tags = np.frombuffer(b"".join(tags for _, tags in pairs), np.int8)
+    del pairs
+    model = fit_field(tokens, tags, lengths, training)
+
+    each = sample.mapInArrow(_summed(model), "doc string, toxic int, top double, total double")
+    each = each.groupBy("doc", "toxic").agg(F.max("top").alias("top"), F.sum("total").alias("total")).orderBy("doc").toArrow()
+    toxic = each.column("toxic").to_numpy()
+    summary = np.column_stack([each.column("top").to_numpy(), np.log1p(each.column("total").to_numpy())])
+    # Half of the sample is toxic; the weights give the classes the shares that they have among the labels.
+    drawn = {value: max(1, int((toxic == value).sum())) for value in sizes}
+    weight = np.array([sizes[t] / drawn[t] for t in toxic.tolist()])
+    model.calibration = calibrate(summary, toxic, weight * len(weight) / max(1e-9, weight.sum()))
     return model
 
 

@@ -206,3 +206,78 @@ def test_components(spark):
     nodes = {n for pair in links if pair[0] != pair[1] for n in pair}
     want = roots([p for p in links if p[0] != p[1]], nodes)
     assert {r.node: r.root for r in rows} == want and len(rows) == len(want)
+
+
+def test_the_whole_of_a_long_text_is_learned(spark, monkeypatch):
+    """Toxic words far behind the beginning, and of one id with many rows."""
+    texts, labels = toxic_corpus()
+    texts = [t + " filler" * 1500 if i % 8 == 4 else t for i, t in enumerate(texts)]
+    texts = [" ".join(reversed(t.split())) if i % 8 == 4 else t for i, t in enumerate(texts)]
+    rows = [*enumerate(texts), *[(4, texts[4])] * 50]
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(docs_table(spark, rows), table)
+    scored = {r.doc_id: r.toxicity for r in toxicity.score(docs_table(spark, list(enumerate(texts))), model).collect()}
+    assert sum((scored[i] >= 0.5) == bool(t) for i, t in labels) / len(labels) > 0.97
+
+
+def test_marking_features_equal_plain_counts(spark):
+    training = toxicity.Training(evidence=4.0)
+    texts, labels = toxic_corpus()
+    rows = [(str(i), 0, t, np.array([toxicity.word_features(w) for w in texts[i].encode().split()], np.uint32).tobytes()) for i, t in labels[:120]]
+    sample = spark.createDataFrame([(d, p, t, bytearray(k)) for d, p, t, k in rows], "doc string, part int, toxic int, tokens binary")
+    found = toxicity.marking_features(sample, training)
+    for place in range(toxicity.LABELLING):
+        docs, contexts = {}, {}
+        for d, _, t, packed in rows:
+            tokens = np.frombuffer(packed, np.uint32).reshape(-1, toxicity.FEATURES)
+            for at, row in enumerate(tokens.tolist()):
+                docs.setdefault(row[place], set()).add((t, d))
+                if t:
+                    contexts.setdefault(row[place], set()).add(tokens[at - 1, 0] if at else -1)
+        every = sum(map(len, docs.values()))
+        clean = sum(1 for seen in docs.values() for t, _ in seen if not t)
+        bits, marks = -np.log2(max(1e-3, 1 - clean / every)), []
+        for key, seen in docs.items():
+            there, elsewhere = sum(t for t, _ in seen), sum(not t for t, _ in seen)
+            there = min(there, len(contexts.get(key, ())))
+            if there * bits >= training.evidence and there >= training.purity * (there + elsewhere):
+                marks.append(key)
+        assert found[place].tolist() == sorted(marks)
+    assert any(len(f) for f in found)
+
+
+def test_quality_gradient_equals_differences():
+    """One step of the fit against numeric slopes of the likelihood of the observed grades."""
+    rnd = np.random.default_rng(3)
+    x, grade = rnd.normal(size=(40, 6)), rnd.integers(0, 3, 40)
+
+    def likelihood(w, t):
+        tail = 1 / (1 + np.exp(-((x @ w)[:, None] - t)))
+        edge = np.hstack([np.ones((40, 1)), tail, np.zeros((40, 1))])
+        return np.log(edge[np.arange(40), grade] - edge[np.arange(40), grade + 1]).mean()
+
+    training = quality.Training(epochs=1, rate=1e-6, decay=0.0)
+    model = quality.fit(x, grade, training)
+    share = (grade[:, None] > np.arange(2)).mean(axis=0)
+    w0, t0 = np.zeros(6), -np.log(share / (1 - share))
+    slopes = np.array([(likelihood(w0 + d, t0) - likelihood(w0 - d, t0)) / 2e-5 for d in np.eye(6) * 1e-5])
+    # Steps are divided by the size of the slope, so signs and near equal lengths remain.
+    assert np.array_equal(np.sign(model.weights), np.sign(slopes))
+    assert np.allclose(np.abs(model.weights), 1e-6, rtol=0.02)
+    fitted = quality.fit(x, grade, quality.Training(epochs=300, rate=0.05))
+    assert likelihood(fitted.weights, fitted.thresholds) > likelihood(w0, t0) + 0.01
+
+
+def test_quality_features_equal_plain_counts():
+    """Trigram frequencies and ratios against plain Python, across the blocks of a long text."""
+    rnd = np.random.default_rng(1)
+    for text in (b"a", b"Ab 1!\nab", bytes(rnd.integers(1, 256, 3000, dtype=np.uint8)), b"xy Z9\n" * (quality.BLOCK // 6 + 10)):
+        counts = np.zeros(quality.HASHED)
+        for a, b, c in zip(text, text[1:], text[2:], strict=False):
+            value = ((a * 65599 + b) * 65599 + c) % (1 << 32)
+            counts[(value * 2654435761 % (1 << 32)) >> 21] += 1
+        got = quality.features(text)
+        assert np.allclose(got[: quality.HASHED], np.sqrt(counts / max(1, counts.sum())))
+        shares = [sum(65 <= v <= 90 for v in text), sum(48 <= v <= 57 for v in text), sum(v in b" \t\n\v\f\r" for v in text)]
+        assert np.allclose(got[quality.HASHED : quality.HASHED + 3] * len(text), shares)
+        assert got[quality.HASHED + 5] == pytest.approx(len(set(text.split())) / max(1, len(text.split())))
