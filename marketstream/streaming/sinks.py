@@ -200,15 +200,23 @@ def write_snapshots(
 ) -> None:
     """Rows of a minute to the minute table, and the newest row of a product to the table of these."""
     batch = kept(rows)
-    try:
-        minutes.replace_keys(batch, "kafka_offset", source, batch_id)
-        if newest is not None:
-            order = (newest.table.ts_col, "kafka_offset")
 
-            def merge(stored: DataFrame, new: DataFrame) -> DataFrame:
-                return newest_row(stored.unionByName(new), newest.table.keys, order)
+    @inheritable_thread_target(batch.sparkSession)
+    def write_newest() -> None:
+        order = (newest.table.ts_col, "kafka_offset")
+
+        def merge(stored: DataFrame, new: DataFrame) -> DataFrame:
+            return newest_row(stored.unionByName(new), newest.table.keys, order)
 
-            newest.upsert(newest_row(batch, newest.table.keys, order), merge, source, batch_id)
+        newest.upsert(newest_row(batch, newest.table.keys, order), merge, source, batch_id)
+
+    try:
+        batch.count()  # once, before two jobs ask for it: it may be the output of a stateful stream
+        with ThreadPoolExecutor(1) as pool:
+            beside = pool.submit(write_newest) if newest is not None else None
+            minutes.replace_keys(batch, "kafka_offset", source, batch_id)
+        if beside is not None:
+            beside.result()
     finally:
         batch.unpersist()
 
