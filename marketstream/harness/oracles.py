@@ -488,6 +488,15 @@ SELECT product_id, trade_time_utc,
 FROM minutes WINDOW w AS (PARTITION BY product_id ORDER BY trade_time_utc)""",
             _FEED, _MINUTES,
         ),
+        "stored_vwap": _sql(
+            """
+SELECT * FROM (
+  SELECT product_id, trade_time_utc,
+         round(sum(notional_value) OVER w / nullif(sum(total_volume) OVER w, 0), 4) AS rolling_vwap
+  FROM minutes WINDOW w AS (PARTITION BY product_id ORDER BY trade_time_utc)
+) WHERE trade_time_utc >= TIMESTAMP '2024-01-01 06:00:00'""",
+            _FEED, _MINUTES,
+        ),
         "rolling_vwap_and_price": _sql(
             _VWAP_CHART, _FEED, _NOW, _MINUTES, _TICKERS, _TICKER_MINUTES
         ),

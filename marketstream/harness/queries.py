@@ -50,6 +50,7 @@ from ..sources.shared import shared_database, shared_dir
 from ..sources.tables import HourlyTable
 from ..streaming import aggregates, audit, sinks
 from ..streaming.batch_tables import kept
+from ..streaming.carries import refresh_carries, vwap_since
 from ..streaming.runner import LateRows, configure_streaming, drain
 from . import feed as f
 
@@ -657,6 +658,23 @@ def rolling_vwap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(cumulative_vwap(f.trade_minutes(f.feed(spark, sf_dir))), "rolling_vwap")
 
 
+@_query
+def stored_vwap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cumulative price from stored carries, after a batch of late trades and one not yet carried."""
+    tables = _market_tables(spark, "carries").create()
+    trades = kept(f.as_trades(f.feed(spark, sf_dir)))
+    turn = F.col("trade_id").cast("bigint") % 3
+    for number in range(3):
+        sinks.write_trades(trades.where(turn == number), tables, "live", number)
+        if number < 2:
+            refresh_carries(tables.trade_minutes, tables.carries)
+    early = vwap_since(tables.trade_minutes.table, tables.carries.table, BATCH_FROM, STORED_UNTIL)
+    refresh_carries(tables.trade_minutes, tables.carries)
+    late = vwap_since(tables.trade_minutes.table, tables.carries.table, STORED_UNTIL)
+    trades.unpersist()
+    return _out(early.unionByName(late), "rolling_vwap")
+
+
 @_query
 def rolling_vwap_and_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed_df = f.feed(spark, sf_dir)

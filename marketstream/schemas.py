@@ -38,6 +38,8 @@ TRADE_MINUTES = (
     "product_id STRING, trade_time_utc TIMESTAMP, trade_count BIGINT, total_volume DOUBLE, "
     "buy_volume DOUBLE, sell_volume DOUBLE, notional_value DOUBLE"
 )
+# Sums of all minutes of a product before an hour.
+TRADE_CARRIES = "product_id STRING, trade_time_utc TIMESTAMP, volume_before DOUBLE, notional_before DOUBLE"
 # kafka_offset is carried so that replayed old data cannot overwrite newer rows.
 TICKER_MINUTES = (
     "product_id STRING, ticker_ts_utc TIMESTAMP, price DOUBLE, best_bid DOUBLE, best_ask DOUBLE, "
@@ -98,6 +100,7 @@ class TableNames:
     dead_letters: str = "dead_letters"
     ticker_newest: str = "ticker_newest"
     candle_newest: str = "candle_newest"
+    carries: str = "market_trades_carried"
 
     def full(self, table: str) -> str:
         return f"{self.database}.{table}"

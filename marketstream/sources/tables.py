@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hour_label, hour_of_label, moment
 from ..operators.retention import hour_cutoff
+from . import folders
 
 Moment = Column | datetime | str | None
 
@@ -46,7 +47,7 @@ class HourlyTable:
     ``overwrite`` is stored as a table option: ``dynamic`` replaces only the hours that are
     written, ``static`` replaces the whole content. An hour is written by at most ``buckets`` tasks,
     dealt by key: as many files, however many rows it has. With a ``location`` the files lie there and
-    outlive the catalog entry: dropping a partition leaves its files to ``delete``.
+    outlive the catalog entry.
     """
 
     spark: SparkSession
@@ -125,9 +126,19 @@ class HourlyTable:
         self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS {specs}")
 
     def drop_hours(self, hours: Sequence[str]) -> None:
+        """Drop hours with their files, so that no other catalog finds them again."""
         if hours:
+            there = set(self.hours()) if self.location else ()
+            places = [self.place(hour) for hour in hours if hour in there]
             specs = ", ".join(self._spec(hour) for hour in hours)
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {specs}")
+            for place in places:
+                folders.delete(self.spark, place)
+
+    def place(self, hour: str) -> str:
+        """The folder of an hour."""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name} {self._spec(hour)}")
+        return described.where("col_name = 'Location'").first()["data_type"]
 
     def switch(self, hours: Sequence[str], folder: str) -> None:
         """Let hours be what lies in ``folder``, each in one step of the catalog.

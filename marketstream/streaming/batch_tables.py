@@ -64,13 +64,20 @@ class Staged:
 
 @dataclass(frozen=True)
 class BatchTable:
-    """An hourly table with its side tables and its ledger."""
+    """An hourly table with its side tables and its ledger.
+
+    ``carried`` is a table of sums over all earlier hours of this one: those after a changed hour are
+    dropped before the change, so that what is left is always right.
+    """
 
     table: HourlyTable
+    carried: HourlyTable | None = None
 
     def create(self) -> BatchTable:
         spark, place = self.table.spark, self.table.location
         self.table.create()
+        if self.carried is not None:
+            self.carried.create()
         placed = f" LOCATION '{place}_ledger'" if place else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.ledger_name} ({LEDGER}) USING parquet "
@@ -218,6 +225,9 @@ class BatchTable:
         """Switch to the staged hours, drop those left empty, enter the batch. May be repeated."""
         if not self.is_applied(staged.source, staged.batch_id):
             hours = staged.side.hours()
+            if self.carried is not None and (hours or staged.hours):
+                first = min({*hours, *staged.hours})
+                self.carried.drop_hours([hour for hour in self.carried.hours() if hour > first])
             self.table.switch(hours, staged.side.location)
             self.table.drop_hours(sorted(set(staged.hours) - set(hours)))
             touched = sorted({*staged.hours, *hours})
@@ -232,9 +242,7 @@ class BatchTable:
         spark, root = self.table.spark, self.table.root()
         used = {staged.side.location for purpose in ("staged", "arrived") for staged in self.pending(purpose)}
         for hour in self.table.hours():
-            described = spark.sql(f"DESCRIBE TABLE EXTENDED {self.table.name} {self.table._spec(hour)}")
-            place = described.where("col_name = 'Location'").first()["data_type"]
-            used.add(place.rsplit("/", 1)[0])
+            used.add(self.table.place(hour).rsplit("/", 1)[0])
         names = {folder.rsplit("/", 1)[1] for folder in used}
         gone = []
         for purpose in ("staged", "arrived"):

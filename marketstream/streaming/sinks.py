@@ -33,6 +33,7 @@ from ..schemas import (
     QUARANTINE,
     RAW_TRADES,
     TICKER_MINUTES,
+    TRADE_CARRIES,
     TRADE_MEASURES,
     TRADE_MINUTES,
     TableNames,
@@ -73,6 +74,7 @@ class MarketTables:
     dead_letters: HourlyTable
     ticker_newest: BatchTable
     candle_newest: BatchTable
+    carries: BatchTable
 
     @classmethod
     def of(cls, spark: SparkSession, names: TableNames, folder: str | None = None) -> MarketTables:
@@ -90,15 +92,17 @@ class MarketTables:
         def newest(name: str, columns: str, ts_col: str) -> BatchTable:
             return BatchTable(KeyedTable(spark, names.full(name), columns, ts_col, ("product_id",), location=place(name)))
 
+        carries = snapshots(names.carries, TRADE_CARRIES, "trade_time_utc")
         return cls(
             BatchTable(hourly(names.raw_trades, RAW_TRADES, "trade_time_utc", "trade_id")),
-            snapshots(names.trade_minutes, TRADE_MINUTES, "trade_time_utc"),
+            BatchTable(snapshots(names.trade_minutes, TRADE_MINUTES, "trade_time_utc").table, carries.table),
             snapshots(names.ticker_minutes, TICKER_MINUTES, "ticker_ts_utc"),
             snapshots(names.candle_minutes, CANDLE_MINUTES, "candle_ts_utc"),
             hourly(names.quarantine, QUARANTINE, "quarantined_at_utc"),
             hourly(names.dead_letters, DEAD_LETTERS, "record_ts_utc", *DEAD_LETTER_KEYS),
             newest(names.ticker_newest, TICKER_MINUTES, "ticker_ts_utc"),
             newest(names.candle_newest, CANDLE_MINUTES, "candle_ts_utc"),
+            carries,
         )
 
     def create(self) -> MarketTables:
@@ -108,7 +112,7 @@ class MarketTables:
 
     def batch_tables(self) -> list[BatchTable]:
         snapshots = [self.ticker_minutes, self.candle_minutes, self.ticker_newest, self.candle_newest]
-        return [self.raw_trades, self.trade_minutes, *snapshots]
+        return [self.raw_trades, self.trade_minutes, *snapshots, self.carries]
 
     def final_tables(self) -> list[HourlyTable]:
         return [self.trade_minutes.table, self.ticker_minutes.table, self.candle_minutes.table]

@@ -10,13 +10,14 @@ import wire
 from conftest import ROOT, utc
 from pyspark.sql import functions as F
 
-from marketstream.operators import prepare_trades
+from marketstream.operators import cumulative_vwap, prepare_trades
 from marketstream.plans import dashboards
 from marketstream.schemas import TICKER_MINUTES, TableNames
 from marketstream.sources.shared import shared_database, shared_dir
 from marketstream.sources.tables import HourlyTable
 from marketstream.streaming import sinks
 from marketstream.streaming.batch_tables import BatchTable
+from marketstream.streaming.carries import refresh_carries, vwap_since
 from marketstream.streaming.runner import start
 
 START = utc("2024-01-01T00:00:00")
@@ -166,7 +167,7 @@ def test_another_session_finishes_a_staged_batch(spark, monkeypatch):
     )
     assert said.returncode == 0, said.stderr[-2000:]
     (found,) = (x for x in said.stdout.splitlines() if x.startswith("FOUND"))
-    assert found == "FOUND late,new,t0,t1,t2,u0,u1,u2 8 ['20240101_00', '20240101_01', '20240101_02', '20240101_03'] []"
+    assert found == "FOUND late,new,t0,t1,t2,u0,u1,u2 7 ['20240101_00', '20240101_01', '20240101_03'] []"
 
 
 def ticker_rows(spark, *values):
@@ -256,3 +257,42 @@ def test_trigger_by_processing_time(spark, market):
         assert state(market) == (["1", "2", "3"], 3)
     finally:
         query.stop()
+
+
+def vwap(df):
+    return sorted((r[0], r[1], round(r[2], 9)) for r in df.collect() if r[2] is not None)
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_carries_are_right_or_absent(spark, market, monkeypatch, fails):
+    """Against the whole history: after late trades, without a refresh, and after one that failed."""
+    minutes, carries = market.trade_minutes, market.carries
+
+    def check(start):
+        whole = cumulative_vwap(minutes.read().drop("event_hour")).where(F.col("trade_time_utc") >= F.lit(start))
+        assert vwap(vwap_since(minutes.table, carries.table, start)) == vwap(whole)
+
+    sinks.write_trades(trades(spark, *((f"a{m}", m) for m in (1, 70, 200, 290))), market, "live", 0)
+    assert refresh_carries(minutes, carries) == ["20240101_00", "20240101_01", "20240101_03", "20240101_04", "20240101_05"]
+    assert refresh_carries(minutes, carries) == []
+    check(START + timedelta(hours=4))
+    sinks.write_trades(trades(spark, ("late", 130), ("now", 295)), market, "live", 1)
+    assert carries.table.hours() == ["20240101_00", "20240101_01"]
+    check(START + timedelta(hours=3, minutes=10))
+    if fails:
+        failing(monkeypatch, BatchTable, "apply", lambda: refresh_carries(minutes, carries))
+        check(START + timedelta(hours=2))
+    refresh_carries(minutes, carries)
+    assert carries.table.hours()[-1] == "20240101_05"
+    for hours in (0, 2, 3, 4, 5):
+        check(START + timedelta(hours=hours))
+    sinks.write_trades(trades(spark, ("next", 301)), market, "live", 2)
+    assert refresh_carries(minutes, carries) == ["20240101_06"]
+    check(START + timedelta(hours=5))
+
+
+def test_price_from_carries_reads_its_hours_only(spark, market):
+    sinks.write_trades(trades(spark, *((f"a{h}", 60 * h) for h in range(6))), market, "live", 0)
+    refresh_carries(market.trade_minutes, market.carries)
+    asked = vwap_since(market.trade_minutes.table, market.carries.table, START + timedelta(hours=4, minutes=5))
+    assert {f.split("event_hour=")[1][:11] for f in asked.inputFiles()} == {"20240101_04", "20240101_05"}

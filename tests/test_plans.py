@@ -41,6 +41,7 @@ ACTING = {
         "reopened_tables",
         "dead_letters",
         "newest_rows",
+        "stored_vwap",
         "hourly_partition_counts",
         "retention_partitions",
     )
