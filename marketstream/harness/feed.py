@@ -1,7 +1,8 @@
 """``events`` as a market feed, row by row: trades, tickers, candles and the wire messages.
 
 Time runs at one sixtieth, so 30 days of events become 12 hours of trading. All functions take and
-return batch or streaming DataFrames and need no shuffle.
+return batch or streaming DataFrames. What becomes messages is first dealt over the cores: a message
+costs far more than the row it comes from, and a table of one row group is one task.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from ..operators.latest import latest_candle_minutes, latest_ticker_minutes
 from ..operators.trades import minute_trade_agg
 from ..schemas import CHANNELS
+from ..sources import folders
 from ..sources.feed import read_archive_stream
 from ..streaming.runner import use_utc
 
@@ -22,6 +24,8 @@ PRODUCTS = ("BTC-USD", "ETH-USD", "LINK-USD", "SOL-USD")
 ORIGIN_MICROS = 1_704_067_200_000_000
 SLOWDOWN = 60
 HOURS, FILES_PER_HOUR = 12, 2
+#: Stored bytes of the table, about 50,000 rows, that one task turns into messages.
+DEALT_BYTES = 1 << 20
 MICROS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -32,7 +36,14 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table as a file stream, in no order of time. The glob also matches a table of one file."""
     path = f"{sf_dir}/events.parque[t]"
-    return market_feed(read_archive_stream(spark, path, events(spark, sf_dir).schema))
+    rows = read_archive_stream(spark, path, events(spark, sf_dir).schema)
+    return market_feed(rows.repartition(_tasks(spark, sf_dir), "event_id"))
+
+
+def _tasks(spark: SparkSession, sf_dir: str, batches: int = 1) -> int:
+    """Tasks for each of so many batches: every core has one, and more of them as the table grows."""
+    parts = -(-folders.size(spark, f"{sf_dir}/events.parquet") // (batches * DEALT_BYTES))
+    return max(spark.sparkContext.defaultParallelism, parts)
 
 
 def write_hours(spark: SparkSession, sf_dir: str, path: str, hours: range) -> None:
@@ -41,7 +52,7 @@ def write_hours(spark: SparkSession, sf_dir: str, path: str, hours: range) -> No
     An hour repeats what came in the five minutes before it, so copies arrive in another batch.
     """
     seconds, hour = _arrival()
-    _write_in_order(feed(spark, sf_dir), path, hours, lambda n: (hour == n) | seconds.between(n * 3600 - 300, n * 3600 - 1))
+    _write_in_order(wire_source(spark, sf_dir), path, hours, lambda n: (hour == n) | seconds.between(n * 3600 - 300, n * 3600 - 1))
 
 
 def write_late_hours(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -52,7 +63,7 @@ def write_late_hours(spark: SparkSession, sf_dir: str, path: str) -> None:
     def arrives(number: int) -> Column:
         return (~late & (hour == number)) | (late & (hour == number - 3)) | (again & (hour == number - 4))
 
-    _write_in_order(feed(spark, sf_dir), path, range(HOURS + 4), arrives)
+    _write_in_order(wire_source(spark, sf_dir), path, range(HOURS + 4), arrives)
 
 
 def _arrival() -> tuple[Column, Column]:
@@ -73,13 +84,14 @@ def _write_in_order(rows: DataFrame, path: str, hours: range, arrives: Callable[
 
 
 def hourly_stream(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
-    """Stream of what ``write_hours`` wrote: one hour per trigger."""
-    return read_archive_stream(spark, path, feed(spark, sf_dir).schema, FILES_PER_HOUR)
+    """Stream of what ``write_hours`` wrote: one hour per trigger, its rows dealt over the cores."""
+    rows = read_archive_stream(spark, path, feed(spark, sf_dir).schema, FILES_PER_HOUR)
+    return rows.repartition(_tasks(spark, sf_dir, HOURS), "offset")
 
 
 def wire_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed for packing into messages."""
-    return feed(spark, sf_dir)
+    """The feed for packing into messages, dealt over the cores."""
+    return market_feed(events(spark, sf_dir).repartition(_tasks(spark, sf_dir), "event_id"))
 
 
 def market_feed(events_df: DataFrame) -> DataFrame:

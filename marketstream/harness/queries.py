@@ -430,7 +430,7 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damaged messages of all kinds, each batch twice: what is aside, one by one, and how much is stored."""
     f.use_utc(spark)
     tables = _market_tables(spark, "dead").create()
-    wire = kept(f.damaged_rows(f.feed(spark, sf_dir)))
+    wire = kept(f.damaged_rows(f.wire_source(spark, sf_dir)))
     write = sinks.feed_writer(tables, "live")
     for _ in range(2):
         write(wire, 0)

@@ -17,6 +17,12 @@ def exists(spark: SparkSession, folder: str) -> bool:
     return store.exists(path)
 
 
+def size(spark: SparkSession, folder: str) -> int:
+    """Bytes of a file, or of all files in a folder."""
+    store, path = _open(spark, folder)
+    return store.getContentSummary(path).getLength()
+
+
 def older_than(spark: SparkSession, folder: str, minutes: int) -> list[str]:
     """The folders inside ``folder`` that were last changed so long ago."""
     store, path = _open(spark, folder)
