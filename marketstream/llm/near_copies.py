@@ -1,10 +1,13 @@
 """Near copies by shingle similarity: the share of five-word shingles that two texts have in common.
 
-Candidates share one of ``BANDS`` keys, each made of ``ROWS`` least hash values (MinHash); a pair counts
-only if the similarity of its whole shingle sets reaches ``SIMILARITY``. A pair just at 0.8 shares no key
-once in 1,500 times, a pair at 0.85 once in 10^5. The Gray-order index of SimHash prints cannot take this
-over: at 0.8 prints differ in ten bits on average and in eighteen at times, and so do unrelated ones too
-often.
+The Gray-order index of SimHash prints (``simhash_dedup``), here over the five-word shingles, names groups of
+texts whose prints lie within ``simhash_dedup.RADIUS`` bits of each other, and every group is a key. At a
+similarity of 0.8 prints differ in ten bits on average and in eighteen at times, and so do unrelated ones too
+often for any index; for such pairs a text has ``BANDS`` further keys, each made of ``ROWS`` least hash values
+(MinHash). A pair just at 0.8 shares none of these once in 1,500 times, a pair at 0.85 once in 10^5.
+Candidates share a key; a pair counts only if the similarity of its whole shingle sets reaches ``SIMILARITY``.
+Before texts are fetched, a pair is left out if marks of ``MARKS`` bits already show more differences than two
+such sets can have; this loses no pair.
 
 Texts that share a key are not compared all with all. In rounds, one text of each key, another one for
 each key and round, is compared with those that no link has joined to it yet; it is then done, and a key
@@ -25,6 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import simhash_dedup
 from .common import small_batches, stored, texts_as_bytes, words_of
 from .components import components
 
@@ -32,6 +36,8 @@ SHINGLE_WORDS, SEED = 5, 42
 #: Similarity as a fraction of whole numbers, so that the bound itself is met exactly.
 SIMILARITY = (4, 5)
 BANDS, ROWS = 40, 8
+#: Bits of a text's marks, and the band of the keys from the Gray-order index.
+MARKS, GRAY = 512, -1
 #: Bands of the first round, which joins most copies; rounds over all bands; pairs for each text that settle
 #: a key; growth of the texts compared in a round of the keys dealt anew.
 FIRST_BANDS, ROUNDS, SETTLED, FASTER = 4, 2, 4, 8
@@ -63,14 +69,27 @@ def band_keys(found: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(r.tobytes(), i) for i, r in enumerate(rows)], np.uint64).view(np.int64)
 
 
+def marks(found: np.ndarray) -> np.ndarray:
+    """Bit i tells whether an odd number of shingles falls on i: marks differ in at most as many bits as sets in shingles."""
+    places = (found * _FACTOR[0] >> np.uint64(64 - MARKS.bit_length() + 1)).astype(np.int64)
+    odd = np.bincount(places, minlength=MARKS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def gray_print(found: np.ndarray) -> int:
+    return simhash_dedup.majority(simhash_dedup.set_bits(found), len(found))
+
+
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        nodes, sizes, keys = [], [], []
+        nodes, sizes, keys, prints, marked = [], [], [], [], []
         for text in texts_as_bytes(batch.column("text")):
             found = shingles(text)
             nodes.append(xxhash.xxh64_intdigest(found.tobytes()))
             sizes.append(len(found))
             keys.append(band_keys(found))
+            prints.append(gray_print(found))
+            marked.append(marks(found))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id").cast(pa.int64()),
@@ -78,8 +97,10 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(np.array(nodes, np.uint64).view(np.int64)),
                 pa.array(sizes, pa.int32()),
                 pa.array(keys, pa.list_(pa.int64())),
+                pa.array(np.array(prints, np.uint64).view(np.int64)),
+                pa.array(marked, pa.list_(pa.int64())),
             ],
-            ["doc_id", "digest", "node", "n", "keys"],
+            ["doc_id", "digest", "node", "n", "keys", "fp", "marks"],
         )
 
 
@@ -99,9 +120,19 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
 
-def _candidates(prints: DataFrame) -> DataFrame:
+def _gray_groups(nodes: DataFrame) -> DataFrame:
+    """``key, band, node, n``: texts whose prints are joined by the Gray-order index share a key."""
+    prints = nodes.filter("n > 0").select("node", "n", "fp")
+    roots = components(simhash_dedup.links(stored(prints.select("fp").distinct(), "prints")))
+    placed = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    key = F.xxhash64(F.lit("gray"), F.coalesce("root", "fp"))
+    return placed.select(key.alias("key"), F.lit(GRAY).alias("band"), "node", "n")
+
+
+def _candidates(prints: DataFrame, nodes: DataFrame) -> DataFrame:
     """``key, band, node, n``: different shingle sets that share a key with another one."""
-    entries = prints.select("node", "n", F.posexplode("keys").alias("band", "key")).dropDuplicates(["key", "node"])
+    banded = prints.select("node", "n", F.posexplode("keys").alias("band", "key")).select("key", "band", "node", "n")
+    entries = banded.unionByName(_gray_groups(nodes)).dropDuplicates(["key", "node"])
     shared = entries.groupBy("key").agg(F.count("*").alias("texts")).filter("texts > 1").select("key")
     return stored(entries.join(shared, "key", "left_semi"), "bands")
 
@@ -117,7 +148,7 @@ def _texts(docs: DataFrame, prints: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` of nodes that are similar."""
-    pairs = stored(pairs.distinct(), "pairs")
+    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
     for side in "ba":
         needed = texts.join(pairs.select(F.col(side).alias("node")).distinct(), "node", "left_semi")
         pairs = pairs.join(needed.select(F.col("node").alias(side), F.col("text").alias(f"{side}_text")), side)
@@ -129,8 +160,16 @@ def _size_fits(a: str, b: str) -> Column:
     return SIMILARITY[1] * F.least(a, b) >= SIMILARITY[0] * F.greatest(a, b)
 
 
-def _round(entries: DataFrame, roots: DataFrame | None, number: int, hubs: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare next, and the entries that have others left.
+def _marks_fit() -> Column:
+    """Marks that differ in more bits than two similar sets have different shingles cannot be of such sets."""
+    apart = sum(F.bit_count(F.get("a_marks", F.lit(i)).bitwiseXOR(F.get("b_marks", F.lit(i)))) for i in range(MARKS // 64))
+    return apart * (SIMILARITY[1] + SIMILARITY[0]) <= (F.col("a_n") + F.col("b_n")) * (SIMILARITY[1] - SIMILARITY[0])
+
+
+def _round(
+    entries: DataFrame, roots: DataFrame | None, marked: DataFrame, number: int, hubs: int = 1
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs to compare next, with their roots, and the entries that have others left.
 
     Of a key with m texts in components of c texts each, (m^2 - sum c^2) / 2 pairs may join components.
     With more than one, about ``hubs`` texts of a key outside of a component of half of it are compared.
@@ -155,14 +194,22 @@ def _round(entries: DataFrame, roots: DataFrame | None, number: int, hubs: int =
     here = stored(placed.join(stored(keys, "open"), "key"), "here")
     outside = F.col("major").isNull() | (F.col("root") != F.col("major"))
     chosen = F.col("node") == F.col("first") if hubs == 1 else outside & (F.pmod(turn, "m") < hubs)
-    hub = here.filter(~F.col("few") & chosen).select("key", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("root").alias("a_root"))
-    left = here.filter("few").select("key", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("root").alias("a_root"))
-    other = here.select("key", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("root").alias("b_root"), "few")
-    stars = other.filter("not few").join(hub, "key").filter("a_root <> b_root")
-    settled = other.filter("few").join(left, "key").filter("a_root < b_root")
-    pairs = stars.unionByName(settled).filter(_size_fits("a_n", "b_n"))
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        rows = rows.select("key", "node", "n", "root", "few").join(marked, "node")
+        return rows.select("key", "few", *(F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "root", "marks")))
+
+    hub, left = side(here.filter(~F.col("few") & chosen), "a").drop("few"), side(here.filter("few"), "a").drop("few")
+    other = side(here, "b")
+    fits = _size_fits("a_n", "b_n") & _marks_fit()
+    stars = other.filter("not few").join(hub, "key").filter("a_root <> b_root").filter(fits)
+    settled = other.filter("few").join(left, "key").filter("a_root < b_root").filter(fits)
+    pairs = stars.unionByName(settled).select(
+        F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"),
+        F.least("a_root", "b_root").alias("a_root"), F.greatest("a_root", "b_root").alias("b_root"),
+    )
     rest = here.filter(~F.col("few") & ~chosen).select("key", "node", "n")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), rest
+    return stored(pairs.dropDuplicates(["a", "b"]), "near"), rest
 
 
 def _rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,23 +235,33 @@ def _dealt_anew(rest: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(ranked.filter(F.col("rank") <= F.col("n") - must + 1).filter("times > 1").select("key", "node", "n"), "rarest")
 
 
-def links(docs: DataFrame, prints: DataFrame, rounds: int = ROUNDS, first_bands: int = FIRST_BANDS) -> DataFrame:
-    """Pairs ``(a, b)`` of nodes whose components are those of all similar pairs that share a key."""
-    entries = _candidates(prints)
+def _merged(roots: DataFrame | None, pairs: DataFrame, similar_pairs: DataFrame) -> DataFrame:
+    """``node, root`` after similar pairs join the components of their nodes; only the roots are joined anew."""
+    joined = pairs.join(similar_pairs, ["a", "b"], "left_semi").select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
+    moved = stored(components(joined.distinct()), "moved")
+    if roots is None:
+        return moved
+    to = moved.select(F.col("node").alias("root"), F.col("root").alias("new"))
+    old = roots.join(to, "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+    return stored(old.unionByName(moved.join(roots.select("node"), "node", "left_anti")), "roots")
+
+
+def groups(docs: DataFrame, prints: DataFrame, rounds: int = ROUNDS, first_bands: int = FIRST_BANDS) -> DataFrame:
+    """``node, root`` of the linked nodes: the components of all similar pairs that share a key."""
+    nodes = stored(prints.select("node", "n", "fp", "marks").dropDuplicates(["node"]), "nodes")
+    entries = _candidates(prints, nodes)
     texts = _texts(docs, prints, entries.select("node").distinct())
-    pairs, _ = _round(entries.filter(F.col("band") < first_bands), None, 0)
-    found, number = _verify(pairs, texts), 0
+    marked = nodes.select("node", "marks")
+    pairs, _ = _round(entries.filter(F.col("band") < first_bands), None, marked, 0)
+    roots, number = _merged(None, pairs, _verify(pairs, texts)), 0
     while not entries.isEmpty():
         if number == rounds:
             entries = _dealt_anew(entries, texts)
         number += 1
-        # Links to the roots stand for those found so far: the next components need few steps.
-        roots = stored(components(found), "roots")
-        pairs, rest = _round(entries, roots, number, FASTER ** max(0, number - rounds))
+        pairs, rest = _round(entries, roots, marked, number, FASTER ** max(0, number - rounds))
         entries = stored(rest, "rest")
-        stars = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-        found = stored(stars.unionByName(_verify(pairs, texts)), "found")
-    return found
+        roots = _merged(roots, pairs, _verify(pairs, texts))
+    return roots
 
 
 def keep_first(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -216,9 +273,9 @@ def keep_first(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
-    prints = rows.mapInArrow(_sketches, "doc_id long, digest long, node long, n int, keys array<long>")
+    prints = rows.mapInArrow(_sketches, "doc_id long, digest long, node long, n int, keys array<long>, fp long, marks array<long>")
     prints = stored(prints, "sketches")
-    roots = components(links(docs, prints, rounds))
+    roots = groups(docs, prints, rounds)
     named = prints.filter("doc_id is not null").join(roots, "node", "left")
     first = named.groupBy(F.coalesce("root", "node").alias("group")).agg(F.min(F.struct("doc_id", "digest")).alias("row"))
     first = stored(first.select(F.col("row.doc_id").alias("row_id"), F.col("row.digest").alias("row_digest")), "kept")

@@ -43,8 +43,17 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
         part = words[start : start + BLOCK + width - 1]
         shingles = map(b" ".join, zip(*(part[i:] for i in range(width)), strict=False))
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), "<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
+        ones += set_bits(hashes)
+    return majority(ones, total)
+
+
+def set_bits(hashes: np.ndarray) -> np.ndarray:
+    """How many of the 64-bit hashes have each bit set."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int64)
+
+
+def majority(ones: np.ndarray, total: int) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 

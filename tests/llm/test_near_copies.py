@@ -1,10 +1,11 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from helpers import docs_table, roots, sentences, with_extras, words
 
-from marketstream.llm import near_copies
+from marketstream.llm import near_copies, simhash_dedup
 
 
 def plain_shingles(text):
@@ -122,3 +123,31 @@ def test_recall_of_the_keys():
             keys = [set(near_copies.band_keys(near_copies.shingles(t.encode())).tolist()) for t in (" ".join(words), other)]
             hits.setdefault(alike < 0.9, []).append(bool(keys[0] & keys[1]))
     assert all(len(h) > 50 and sum(h) >= 0.99 * len(h) for h in hits.values())
+
+
+def test_candidates_come_from_the_gray_order_index(spark, monkeypatch):
+    """With the bands' keys taken away, one-word edits of long texts are found by the index alone."""
+    rnd = random.Random(9)
+    texts = sentences(6, 3, size=900)
+    rows = [*enumerate(texts), *((100 + i, edited(t, 1, rnd)) for i, t in enumerate(texts))]
+    prints = [simhash_dedup.majority(simhash_dedup.set_bits(s), len(s)) for s in (near_copies.shingles(t.encode()) for _, t in rows)]
+    near = [i for i in range(6) if (prints[i] ^ prints[6 + i]).bit_count() <= simhash_dedup.RADIUS]
+    assert len(near) > 2
+    candidates = near_copies._candidates
+    monkeypatch.setattr(near_copies, "_candidates", lambda p, n: candidates(p, n).filter(f"band = {near_copies.GRAY}"))
+    kept = {r.doc_id for r in near_copies.keep_first(docs_table(spark, rows)).collect()}
+    assert kept == {i for i, _ in rows} - {100 + i for i in near}
+
+
+def test_marks_leave_out_no_similar_pair():
+    rnd = random.Random(10)
+    left_out = 0
+    for _ in range(300):
+        text = " ".join(f"w{rnd.random()}" for _ in range(rnd.choice([60, 150, 400])))
+        sets = [near_copies.shingles(t.encode()) for t in (text, edited(text, rnd.choice([1, 2, 4, 8, 16]), rnd))]
+        apart = int(np.bitwise_count((near_copies.marks(sets[0]) ^ near_copies.marks(sets[1])).view(np.uint64)).sum())
+        assert apart <= len(np.setxor1d(*sets))
+        fits = 9 * apart <= sum(map(len, sets))
+        assert fits or not near_copies.similar(*sets)
+        left_out += not fits
+    assert left_out > 50
