@@ -28,7 +28,9 @@ END, END_CLASS = b"", CLASSES - 1
 SMOOTHING = 0.1
 #: Words whose counts are sent to every task: at most this many, 16 bytes each.
 SHARED_WORDS = 1 << 19
-STEP_TOKENS, SCORE_TOKENS = 4096, 1 << 15
+STEP_TOKENS, SCORE_TOKENS = 4096, 1 << 13
+#: Scores of tokens and classes may lie so far apart before each token needs a maximum of its own.
+SPREAD = 60
 CACHED_WORDS = 200_000
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
@@ -103,12 +105,33 @@ def class_probabilities(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray)
     for feature in range(1, FEATURES):
         scores += weights.take(rows[:, feature], axis=0)
     scores += bias
-    scores -= scores.max(axis=1, keepdims=True)
+    # One bound for all tokens keeps the exponentials in range unless scores lie very far apart.
+    highest = scores.max()
+    if highest - scores.min() > SPREAD:
+        highest = scores.max(axis=1, keepdims=True)
+    scores -= highest
     np.exp(scores, out=scores)
-    scores /= scores.sum(axis=1, keepdims=True)
+    scores *= (1 / (scores @ np.ones(CLASSES, scores.dtype)))[:, None]
     return scores
 
 
+def run_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the runs of rows that begin at ``starts``; overwrites ``values``.
+
+    Rows are added in pairs, then pairs of pairs: most runs are one row, for which ``np.add.reduceat`` is slow.
+    """
+    lengths = np.diff(np.append(starts, len(values)))
+    place = np.arange(len(values)) - np.repeat(starts, lengths)
+    left = np.repeat(lengths, lengths) - place  # rows from here to the end of the run
+    step, at = 1, np.arange(len(values))
+    while True:
+        at = at[(place[at] & (2 * step - 1) == 0) & (left[at] > step)]
+        if not len(at):
+            return values.take(starts, axis=0)
+        values[at] += values.take(at + step, axis=0)
+        step *= 2
+
+
 class Learner:
     """Gradient steps on one task's tokens, from common weights."""
 
@@ -127,11 +150,13 @@ class Learner:
             column = column[order]
             starts = np.append(0, np.flatnonzero(column[1:] != column[:-1]) + 1)
             used = column[starts].astype(np.int64)
-            slope = np.add.reduceat(gap.take(order, axis=0), starts, axis=0)
-            self.squares[used] += np.einsum("ij,ij->i", slope, slope) / CLASSES
-            self.weights[used] -= (self.rate / np.sqrt(self.squares[used]))[:, None] * slope
+            slope = run_sums(gap.take(order, axis=0), starts)
+            squares = self.squares[used] + np.einsum("ij,ij->i", slope, slope) / CLASSES
+            self.squares[used] = squares
+            slope *= (self.rate / np.sqrt(squares))[:, None]
+            self.weights[used] = self.weights.take(used, axis=0) - slope
             self.uses[used] += np.diff(np.append(starts, len(column)))
-        self.bias -= self.rate * gap.mean(axis=0)
+        self.bias -= self.rate * (np.ones(len(gap), gap.dtype) @ gap / len(gap))
         self.uses[ROWS] += len(classes)
 
 
