@@ -15,6 +15,10 @@ is done when its texts are one component. A key with few such pairs left is sett
 hold many unlike texts even so are dealt anew by the rarest shingles of each text: two sets of similarity
 0.8 share one of the first fifth, whatever the rest. Of these keys, more and more texts outside of the
 largest component are compared in a round, so that rounds grow with the logarithm of the largest key.
+
+The driver's memory goes with the queries and broadcasts it has lately planned, not with rows. So tasks contract
+links before their components are sought, a round without similar pairs ends early, and tables of nodes are
+joined without broadcasts.
 """
 
 from __future__ import annotations
@@ -41,8 +45,8 @@ MARKS, GRAY = 512, -1
 #: Bands of the first round, which joins most copies; rounds over all bands; pairs for each text that settle
 #: a key; growth of the texts compared in a round of the keys dealt anew.
 FIRST_BANDS, ROUNDS, SETTLED, FASTER = 4, 2, 4, 8
-#: Shingles put through all hash functions at a time.
-BLOCK = 512
+#: Shingles put through all hash functions at a time; links that a task contracts at a time.
+BLOCK, CONTRACTED = 512, 1 << 18
 _MIX = np.random.default_rng(5).integers(0, 1 << 63, (2, BANDS * ROWS, 1)).astype(np.uint64)
 _FLIP, _FACTOR = _MIX[0], _MIX[1] << np.uint64(1) | np.uint64(1)
 
@@ -123,7 +127,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _gray_groups(nodes: DataFrame) -> DataFrame:
     """``key, band, node, n``: texts whose prints are joined by the Gray-order index share a key."""
     prints = nodes.filter("n > 0").select("node", "n", "fp")
-    roots = components(simhash_dedup.links(stored(prints.select("fp").distinct(), "prints")))
+    roots = _components(simhash_dedup.links(stored(prints.select("fp").distinct(), "prints")))
     placed = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     key = F.xxhash64(F.lit("gray"), F.coalesce("root", "fp"))
     return placed.select(key.alias("key"), F.lit(GRAY).alias("band"), "node", "n")
@@ -147,12 +151,13 @@ def _texts(docs: DataFrame, prints: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes that are similar."""
-    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
+    """Those of the different pairs ``(a, b)`` of nodes that are similar."""
+    joined = pairs = pairs.select("a", "b")
     for side in "ba":
-        needed = texts.join(pairs.select(F.col(side).alias("node")).distinct(), "node", "left_semi")
-        pairs = pairs.join(needed.select(F.col("node").alias(side), F.col("text").alias(f"{side}_text")), side)
-    return stored(pairs.select("a", "b", "a_text", "b_text").mapInArrow(_verified, "a long, b long"), "similar")
+        needed = texts.join(pairs.select(F.col(side).alias("node")).distinct().hint("merge"), "node", "left_semi")
+        needed = needed.select(F.col("node").alias(side), F.col("text").alias(f"{side}_text"))
+        joined = joined.join(needed.hint("merge"), side)
+    return stored(joined.select("a", "b", "a_text", "b_text").mapInArrow(_verified, "a long, b long"), "similar")
 
 
 def _size_fits(a: str, b: str) -> Column:
@@ -177,7 +182,7 @@ def _round(
     if roots is None:
         placed = entries.select("key", "node", "n", F.col("node").alias("root"))
     else:
-        joined = entries.select("key", "node", "n").join(roots, "node", "left")
+        joined = entries.select("key", "node", "n").join(roots.hint("merge"), "node", "left")
         placed = joined.select("key", "node", "n", F.coalesce("root", "node").alias("root"))
     placed = stored(placed, "placed")
     turn = F.xxhash64("node", "key", F.lit(number)).alias("turn")
@@ -196,7 +201,7 @@ def _round(
     chosen = F.col("node") == F.col("first") if hubs == 1 else outside & (F.pmod(turn, "m") < hubs)
 
     def side(rows: DataFrame, name: str) -> DataFrame:
-        rows = rows.select("key", "node", "n", "root", "few").join(marked, "node")
+        rows = rows.select("key", "node", "n", "root", "few").join(marked.hint("merge"), "node")
         return rows.select("key", "few", *(F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "root", "marks")))
 
     hub, left = side(here.filter(~F.col("few") & chosen), "a").drop("few"), side(here.filter("few"), "a").drop("few")
@@ -235,15 +240,45 @@ def _dealt_anew(rest: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(ranked.filter(F.col("rank") <= F.col("n") - must + 1).filter("times > 1").select("key", "node", "n"), "rarest")
 
 
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of the same components: of those a task holds, each node with the least one it leads to."""
+    up: dict[int, int] = {}
+
+    def top(node: int) -> int:
+        while (above := up.setdefault(node, node)) != node:
+            up[node] = node = up[above]
+        return node
+
+    def stars() -> pa.RecordBatch:
+        nodes = [node for node, above in up.items() if node != above]
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(map(top, nodes), pa.int64())], ["a", "b"])
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            a, b = top(a), top(b)
+            up[max(a, b)] = min(a, b)
+        if len(up) >= CONTRACTED:
+            yield stars()
+            up.clear()
+    yield stars()
+
+
+def _components(links: DataFrame) -> DataFrame:
+    """``components`` of the links, contracted by tasks first: most of its rounds, and what the driver plans for them, fall away."""
+    return components(links.select("a", "b").distinct().mapInArrow(_contracted, "a long, b long"))
+
+
 def _merged(roots: DataFrame | None, pairs: DataFrame, similar_pairs: DataFrame) -> DataFrame:
     """``node, root`` after similar pairs join the components of their nodes; only the roots are joined anew."""
-    joined = pairs.join(similar_pairs, ["a", "b"], "left_semi").select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
-    moved = stored(components(joined.distinct()), "moved")
+    if roots is not None and similar_pairs.isEmpty():
+        return roots
+    joined = pairs.join(similar_pairs.hint("merge"), ["a", "b"], "left_semi")
+    moved = stored(_components(joined.select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))), "moved")
     if roots is None:
         return moved
     to = moved.select(F.col("node").alias("root"), F.col("root").alias("new"))
-    old = roots.join(to, "root", "left").select("node", F.coalesce("new", "root").alias("root"))
-    return stored(old.unionByName(moved.join(roots.select("node"), "node", "left_anti")), "roots")
+    old = roots.join(to.hint("merge"), "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+    return stored(old.unionByName(moved.join(roots.select("node").hint("merge"), "node", "left_anti")), "roots")
 
 
 def groups(docs: DataFrame, prints: DataFrame, rounds: int = ROUNDS, first_bands: int = FIRST_BANDS) -> DataFrame:
@@ -260,7 +295,8 @@ def groups(docs: DataFrame, prints: DataFrame, rounds: int = ROUNDS, first_bands
         number += 1
         pairs, rest = _round(entries, roots, marked, number, FASTER ** max(0, number - rounds))
         entries = stored(rest, "rest")
-        roots = _merged(roots, pairs, _verify(pairs, texts))
+        if not pairs.isEmpty():
+            roots = _merged(roots, pairs, _verify(pairs, texts))
     return roots
 
 

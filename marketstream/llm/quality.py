@@ -137,9 +137,13 @@ def train(docs: DataFrame, ratings: DataFrame, training: Training | None = None)
     table = rows.mapInArrow(_extracted, "grade int, x binary").toArrow()
     if not table.num_rows:
         return Model([0], np.zeros(WIDTH), np.zeros(0))
-    grade, packed = table.column("grade").to_numpy(), table.column("x").to_pylist()
-    order = sorted(range(len(packed)), key=lambda i: (packed[i], grade[i]))  # the same fit on every run
-    x = np.frombuffer(b"".join(packed[i] for i in order), np.float32).reshape(-1, WIDTH)
+    grade, x = table.column("grade").to_numpy(), np.empty((table.num_rows, WIDTH), np.float32)
+    for i, packed in enumerate(table.column("x")):  # no list of rows, whose memory would stay with the driver
+        x[i] = np.frombuffer(packed.as_buffer(), np.float32)
+    del table, packed
+    pa.default_memory_pool().release_unused()
+    order = np.lexsort((grade, x.view(f"S{x.itemsize * WIDTH}")[:, 0]))  # the same fit on every run
+    x = x[order]
     return fit(x, grade[order], training)
 
 

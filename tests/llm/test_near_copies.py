@@ -2,6 +2,7 @@ import random
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import docs_table, roots, sentences, with_extras, words
 
@@ -151,3 +152,27 @@ def test_marks_leave_out_no_similar_pair():
         assert fits or not near_copies.similar(*sets)
         left_out += not fits
     assert left_out > 50
+
+
+def test_tasks_contract_links_to_the_same_components(monkeypatch):
+    rnd = random.Random(11)
+    links = [(rnd.randrange(-60, 60), rnd.randrange(-60, 60)) for _ in range(70)]
+    table = pa.table({"a": [a for a, _ in links], "b": [b for _, b in links]}).to_batches(max_chunksize=10)
+    whole = [tuple(r.values()) for batch in near_copies._contracted(table) for r in batch.to_pylist()]
+    expected = {i: root for i, root in roots(links, range(-60, 60)).items() if i != root}
+    assert dict(whole) == expected
+    assert len(whole) == len(expected)
+    monkeypatch.setattr(near_copies, "CONTRACTED", 20)
+    parts = [tuple(r.values()) for batch in near_copies._contracted(table) for r in batch.to_pylist()]
+    assert roots(parts, range(-60, 60)) == roots(links, range(-60, 60))
+
+
+def test_driver_plans_few_queries(spark):
+    """Jobs of a table whose last rounds find nothing; the driver keeps memory for each."""
+    rows = short_copies(80)
+    docs = docs_table(spark, rows)
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs
+    before = jobs()
+    kept = sorted(r.doc_id for r in near_copies.keep_first(docs).collect())
+    assert kept == expected(rows)
+    assert jobs() - before < 215
