@@ -16,6 +16,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes of one Arrow batch sent to Python: bounds a task's memory whatever the texts' lengths.
 BATCH_BYTES = 8 << 20
 _BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+_SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -25,10 +26,20 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a step to the shared folder and read it back: lineage ends, and executors may go."""
-    path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a step to the shared folder and read it back: lineage ends, and executors may go.
+
+    The step's shuffle files go with its end. Spark would keep them until the driver collects garbage, which
+    in jobs of many steps may not be before the disks are full.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, purpose)
+    before = spark.conf.get(_SHUFFLES_GO, None)
+    spark.conf.set(_SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_SHUFFLES_GO) if before is None else spark.conf.set(_SHUFFLES_GO, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def whole_row(df: DataFrame) -> Column:

@@ -17,8 +17,8 @@ hold many unlike texts even so are dealt anew by the rarest shingles of each tex
 largest component are compared in a round, so that rounds grow with the logarithm of the largest key.
 
 The driver's memory goes with the queries and broadcasts it has lately planned, not with rows. So tasks contract
-links before their components are sought, a round without similar pairs ends early, and tables of nodes are
-joined without broadcasts.
+links before their components are sought, one task alone if they are few; a round without similar pairs ends
+early, and tables of nodes are joined without broadcasts.
 """
 
 from __future__ import annotations
@@ -127,7 +127,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _gray_groups(nodes: DataFrame) -> DataFrame:
     """``key, band, node, n``: texts whose prints are joined by the Gray-order index share a key."""
     prints = nodes.filter("n > 0").select("node", "n", "fp")
-    roots = _components(simhash_dedup.links(stored(prints.select("fp").distinct(), "prints")))
+    roots = stored(_components(simhash_dedup.links(stored(prints.select("fp").distinct(), "prints"))), "print-roots")
     placed = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     key = F.xxhash64(F.lit("gray"), F.coalesce("root", "fp"))
     return placed.select(key.alias("key"), F.lit(GRAY).alias("band"), "node", "n")
@@ -263,9 +263,25 @@ def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield stars()
 
 
+def _rooted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node, root`` of all links, which are too few for ``_contracted`` to part them."""
+    stars = pa.Table.from_batches(_contracted(batches))
+    roots = stars["b"].unique()
+    yield from stars.rename_columns(["node", "root"]).to_batches()
+    yield pa.RecordBatch.from_arrays([roots, roots], ["node", "root"])
+
+
 def _components(links: DataFrame) -> DataFrame:
-    """``components`` of the links, contracted by tasks first: most of its rounds, and what the driver plans for them, fall away."""
-    return components(links.select("a", "b").distinct().mapInArrow(_contracted, "a long, b long"))
+    """``components`` of the links, contracted by tasks first: most of its rounds, and what the driver plans for them, fall away.
+
+    A task takes as many links as it contracts at a time, each with two nodes; if that is all of them, nothing is left to join.
+    """
+    found = stored(links.select("a", "b").distinct(), "links")
+    tasks = found.count() * 2 // CONTRACTED + 1
+    found = found.coalesce(tasks)
+    if tasks == 1:
+        return found.mapInArrow(_rooted, "node long, root long")
+    return components(found.mapInArrow(_contracted, "a long, b long"))
 
 
 def _merged(roots: DataFrame | None, pairs: DataFrame, similar_pairs: DataFrame) -> DataFrame:

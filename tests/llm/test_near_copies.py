@@ -167,6 +167,27 @@ def test_tasks_contract_links_to_the_same_components(monkeypatch):
     assert roots(parts, range(-60, 60)) == roots(links, range(-60, 60))
 
 
+@pytest.mark.parametrize("many", [False, True])
+def test_few_links_need_no_rounds(spark, monkeypatch, many):
+    """Links that one task may hold are settled by it; more of them go through the rounds of ``components``."""
+    rnd = random.Random(12)
+    links = [(rnd.randrange(-60, 60), rnd.randrange(-60, 60)) for _ in range(70)]
+    called = []
+    components = near_copies.components
+    monkeypatch.setattr(near_copies, "components", lambda edges: called.append(edges) or components(edges))
+    if many:
+        monkeypatch.setattr(near_copies, "CONTRACTED", 40)
+    table = spark.createDataFrame([*links, *links], "a long, b long").repartition(5)
+    found = [tuple(r) for r in near_copies._components(table).collect()]
+    plain = roots(links, range(-60, 60))
+    linked = {i for a, b in links if a != b for i in (a, b)}
+    assert len(found) == len(dict(found))
+    assert {i: root for i, root in found if i in linked} == {i: plain[i] for i in linked}
+    assert all(i in linked or i == root for i, root in found)
+    assert bool(called) == many
+    assert not near_copies._components(table.limit(0)).collect()
+
+
 def test_driver_plans_few_queries(spark):
     """Jobs of a table whose last rounds find nothing; the driver keeps memory for each."""
     rows = short_copies(80)
